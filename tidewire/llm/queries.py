@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import LOWER, UPPER, table
 from .exact_dedup import exact_dedup
+from .packing import pack
 from .source_mix import BLOCK, PHI, mix
 
 
@@ -70,8 +71,16 @@ SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS
 """
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op6_exact_dedup": op6_exact_dedup, "op7_source_mix": op7_source_mix}
+    return {
+        "op6_exact_dedup": op6_exact_dedup,
+        "op7_source_mix": op7_source_mix,
+        "op9_best_fit_packing": op9_best_fit_packing,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
