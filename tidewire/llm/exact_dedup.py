@@ -42,6 +42,7 @@ def frequent(rows: DataFrame, digest: str, tracked: int = TRACKED, winners: int
     hashed = rows.select(F.xxhash64(digest).alias("__h"), F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("__g"))
     return (
         hashed.groupBy("__g").agg(F.expr(f"approx_top_k_accumulate(__h, {tracked})").alias("__s"))
+        .groupBy(F.col("__g") < 0)  # one group; a global aggregate fails on partitions without rows
         .agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(__s, {tracked}), {winners})").alias("__top"))
         .select(F.explode("__top").alias("__i"))
         .where("__i.count > 1")
