@@ -49,3 +49,17 @@ def ascii_lower(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def keep_rows(docs: DataFrame, wins: DataFrame, id_col: str, key: Column) -> DataFrame:
+    """One row of ``docs`` for each row (id, key, n) of ``wins``; columns unchanged.
+
+    ``key`` tells texts under one id apart; ``n`` says how many rows share id
+    and key. Only where that is more than one are rows reduced to one.
+    """
+    wins = staged(wins.select(F.col("id").alias("__id"), F.col("key").alias("__want"), F.col("n").alias("__n")), "wins")
+    hit = docs.withColumn("__key", key).join(wins, F.col(id_col).eqNullSafe(F.col("__id")) & F.col("__key").eqNullSafe(F.col("__want")))
+    if wins.where("__n > 1").isEmpty():
+        return hit.select(*docs.columns)
+    many = hit.where("__n > 1").dropDuplicates(["__id", "__want"])
+    return hit.where("__n = 1").unionByName(many).select(*docs.columns)

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, staged
+from .common import ascii_lower, keep_rows, staged
 
 #: Counters of the frequent-items sketch; its error is about 3.5 / TRACKED of all rows.
 TRACKED = 4096
@@ -86,15 +86,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    Rows of one text only match nobody in the drop list, so the texts are
-    joined with the winners' (id, digest) pairs once.
-    """
+    """The rows of ``docs`` that stay, with all their columns."""
     found = resolve(staged(digests(docs, id_col, text_col), "digests"), "digest", "id", "n")
-    wins = found.where(F.col("id").eqNullSafe(F.col("keep_id"))).select(F.col("id").alias("__id"), F.col("digest").alias("__d"), F.col("n").alias("__n"))
-    text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    tagged = docs.withColumn("__key", F.unhex(F.sha2(text, 256)))
-    hit = tagged.join(wins, F.col("__key").eqNullSafe(F.col("__d")) & F.col(id_col).eqNullSafe(F.col("__id")))
-    once = hit.where("__n = 1").select(*docs.columns)
-    return once.unionByName(hit.where("__n > 1").dropDuplicates(["__id", "__d"]).select(*docs.columns))
+    wins = found.where(F.col("id").eqNullSafe(F.col("keep_id"))).select("id", F.col("digest").alias("key"), "n")
+    return keep_rows(docs, wins, id_col, F.unhex(F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256)))

@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import LOWER, UPPER, table
 from .exact_dedup import exact_dedup
 from .packing import pack
+from .simhash import near_dedup
 from .source_mix import BLOCK, PHI, mix
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents")).drop("key", "root")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -77,6 +82,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_source_mix": op7_source_mix,
         "op9_best_fit_packing": op9_best_fit_packing,
