@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import LOWER, UPPER, table
 from .exact_dedup import exact_dedup
 from .packing import pack
+from .secrets import digest, scan
 from .simhash import near_dedup
 from .source_mix import BLOCK, PHI, mix
 
@@ -17,6 +18,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).drop("key", "root")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(scan(table(spark, sf_dir, "documents")))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
+        "op4_secret_scan": op4_secret_scan,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_source_mix": op7_source_mix,
         "op9_best_fit_packing": op9_best_fit_packing,
