@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import LOWER, UPPER, table
 from .exact_dedup import exact_dedup
+from .language_id import identify
 from .packing import pack
 from .secrets import digest, scan
 from .simhash import near_dedup
 from .source_mix import BLOCK, PHI, mix
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).drop("key", "root")
 
@@ -87,6 +92,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_id": op1_language_id,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op4_secret_scan": op4_secret_scan,
         "op6_exact_dedup": op6_exact_dedup,
