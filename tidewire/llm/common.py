@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The 26 letters that case folding touches.
@@ -63,3 +63,16 @@ def keep_rows(docs: DataFrame, wins: DataFrame, id_col: str, key: Column) -> Dat
         return hit.select(*docs.columns)
     many = hit.where("__n > 1").dropDuplicates(["__id", "__want"])
     return hit.where("__n = 1").unionByName(many).select(*docs.columns)
+
+
+def prefix_sum(rows: DataFrame, group: list[str], bucket: str, order: list, amount: Column, name: str) -> DataFrame:
+    """``rows`` with the sum of ``amount`` over the rows before, within ``group`` in order of (bucket, order).
+
+    Two levels: bucket totals are summed over buckets, rows only within their
+    bucket, so a large group is spread over as many tasks as it has buckets.
+    """
+    per = rows.groupBy(*group, bucket).agg(F.sum(amount).alias("__sum"))
+    before = per.withColumn("__before", F.sum("__sum").over(Window.partitionBy(*group).orderBy(bucket)) - F.col("__sum")).drop("__sum")
+    inner = Window.partitionBy(*group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumn("__in", F.sum(amount).over(inner) - amount)
+    return local.join(before, [*group, bucket]).withColumn(name, F.col("__before") + F.col("__in")).drop("__before", "__in")

@@ -13,6 +13,7 @@ from .packing import pack
 from .secrets import digest, scan
 from .simhash import near_dedup
 from .source_mix import BLOCK, PHI, mix
+from .warc import archive
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +87,22 @@ SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS
 """
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(table(spark, sf_dir, "pages"))
+
+
+OP8_SQL = """
+WITH t AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+k AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS keep FROM t)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN keep IS NOT NULL AND page_id IS DISTINCT FROM keep THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN keep IS NOT NULL AND page_id IS DISTINCT FROM keep THEN keep END AS refers_to
+FROM k
+"""
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -97,9 +114,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_secret_scan": op4_secret_scan,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_source_mix": op7_source_mix,
+        "op8_warc": op8_warc,
         "op9_best_fit_packing": op9_best_fit_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL, "op7_source_mix": OP7_SQL}
+    return {"op6_exact_dedup": OP6_SQL, "op7_source_mix": OP7_SQL, "op8_warc": OP8_SQL}

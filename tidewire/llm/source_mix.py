@@ -23,10 +23,10 @@ without words has target 0; other columns of the input are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, staged
+from .common import WORD, prefix_sum, staged
 
 #: Words in a block.
 BLOCK = 256
@@ -77,15 +77,6 @@ def targets(rows: DataFrame, share: float = SHARE, most: int = MOST, weights: tu
     )
 
 
-def _prefix(rows: DataFrame, group: str, bucket: str, order: list, amount: Column, name: str) -> DataFrame:
-    """``rows`` with the sum of ``amount`` over the rows before, within ``group`` in order of (bucket, order)."""
-    per = rows.groupBy(group, bucket).agg(F.sum(amount).alias("__sum"))
-    before = per.withColumn("__before", F.sum("__sum").over(Window.partitionBy(group).orderBy(bucket)) - F.col("__sum")).drop("__sum")
-    inner = Window.partitionBy(group, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.withColumn("__in", F.sum(amount).over(inner) - amount)
-    return local.join(before, [group, bucket]).withColumn(name, F.col("__before") + F.col("__in")).drop("__before", "__in")
-
-
 def slots(spark, goals: DataFrame, n: int, block: int = BLOCK) -> DataFrame:
     """The schedule: position, sid, rank (within the source), block_no, quota (words that the slot takes)."""
     bits = max(1, (max(n, 1) - 1).bit_length())
@@ -97,7 +88,7 @@ def slots(spark, goals: DataFrame, n: int, block: int = BLOCK) -> DataFrame:
     ).where(F.col("point") < n)
     spans = goals.where("n_slots > 0").withColumn("cell", F.explode(F.expr(f"sequence(first div {wide}, (first + n_slots - 1) div {wide})")))
     placed = points.withColumn("cell", F.expr(f"point div {wide}")).join(spans, "cell").where("point >= first and point < first + n_slots")
-    ranked = _prefix(placed.withColumn("__chunk", F.expr(f"position div {BUCKET}")), "sid", "__chunk", ["position"], F.lit(1), "rank")
+    ranked = prefix_sum(placed.withColumn("__chunk", F.expr(f"position div {BUCKET}")), ["sid"], "__chunk", ["position"], F.lit(1), "rank")
     rest = F.col("take") % F.col("source_size") % F.lit(block)
     return ranked.select(
         "position", "sid", "rank",
@@ -116,7 +107,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     known = rows.join(goals.select(F.col("source").alias("__s"), "sid", "source_size", "target"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s")
     known = known.withColumn("shuffle", F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))))
     known = known.withColumn("__bucket", F.expr(f"(cast(conv(substr(shuffle, 1, 8), 16, 10) as bigint) * {buckets}) div 4294967296"))
-    lined = _prefix(known, "sid", "__bucket", ["shuffle", "size", "key"], F.col("size"), "start")
+    lined = prefix_sum(known, ["sid"], "__bucket", ["shuffle", "size", "key"], F.col("size"), "start")
     pieces = lined.where("size > 0").withColumn("block_no", F.explode(F.expr(f"sequence(start div {block}, (start + size - 1) div {block})")))
     edge = F.col("block_no") * block
     pieces = pieces.select("sid", "start", "block_no", F.greatest(F.lit(0), F.col("start") - edge).alias("lo"), F.least(F.lit(block), F.col("start") + F.col("size") - edge).alias("hi"))
