@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import LOWER, UPPER, table
 from .exact_dedup import exact_dedup
 from .language_id import identify
+from .licences import oracle as licence_sql
+from .licences import scan as scan_licences
 from .packing import pack
 from .secrets import digest, scan
 from .simhash import near_dedup
@@ -107,6 +109,10 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
@@ -116,8 +122,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_source_mix": op7_source_mix,
         "op8_warc": op8_warc,
         "op9_best_fit_packing": op9_best_fit_packing,
+        "op10_licence_scan": op10_licence_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL, "op7_source_mix": OP7_SQL, "op8_warc": OP8_SQL}
+    return {"op6_exact_dedup": OP6_SQL, "op7_source_mix": OP7_SQL, "op8_warc": OP8_SQL, "op10_licence_scan": licence_sql()}
