@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import LOWER, UPPER, table
 from .exact_dedup import exact_dedup
+from .html_extract import main_text
 from .language_id import identify
 from .licences import oracle as licence_sql
 from .licences import scan as scan_licences
@@ -30,6 +31,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(scan(table(spark, sf_dir, "documents")))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -118,6 +123,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": op1_language_id,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op4_secret_scan": op4_secret_scan,
+        "op5_html_extraction": op5_html_extraction,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_source_mix": op7_source_mix,
         "op8_warc": op8_warc,
