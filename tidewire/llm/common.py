@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,7 +49,16 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def _show_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever the working folder."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _show_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import LOWER, UPPER, table
 from .exact_dedup import exact_dedup
 from .html_extract import main_text
+from .images import find_copies
 from .language_id import identify
 from .licences import oracle as licence_sql
 from .licences import scan as scan_licences
+from .media import rendered
 from .packing import pack
 from .secrets import digest, scan
 from .simhash import near_dedup
@@ -23,6 +25,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op2_media_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_copies(rendered(table(spark, sf_dir, "embeddings")), "vec_id")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents")).drop("key", "root")
 
@@ -121,6 +127,7 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
+        "op2_media_copies": op2_media_copies,
         "op3_simhash_near_dedup": op3_simhash_near_dedup,
         "op4_secret_scan": op4_secret_scan,
         "op5_html_extraction": op5_html_extraction,
