@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 #: The 26 letters that case folding touches.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
+#: Rows in an Arrow batch, at most.
+BATCH_ROWS = 256
 #: Fixed value: a word, as every contract here defines it.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -49,6 +51,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding the rows that Python workers of its session get at once, so that whole texts fit in their memory."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def _show_package(spark: SparkSession) -> None:
     """Let Python workers import this package from where the driver has it, whatever the working folder."""
     root = str(Path(__file__).resolve().parents[2])

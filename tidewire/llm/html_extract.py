@@ -34,6 +34,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 # Elements by kind, from the public HTML standard.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -422,7 +424,7 @@ def extract(pages: DataFrame, html_col: str = "html", chain: Chain | None = None
         texts = [own.extract(h) for h in html]
         return pd.DataFrame({"text": texts, "n_chars": [len(t) for t in texts]})
 
-    return pages.withColumn("__main", of(F.coalesce(F.col(html_col), F.lit(""))))
+    return small_batches(pages).withColumn("__main", of(F.coalesce(F.col(html_col), F.lit(""))))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

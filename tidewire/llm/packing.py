@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import small_batches, staged
 
 CAPACITY = 1024
 #: Id that ends each document.
@@ -118,7 +118,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, capacity
             yield pd.DataFrame(out, columns=["id", "row", "first", "full", "crcs"]).astype({"id": "Int64"} if kind == "bigint" else {"id": object})
 
     kind = dict(docs.dtypes)[id_col]
-    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if kind == "bigint":  # null ids would make pandas read longs as doubles
         texts = texts.withColumn("id", F.col("id").cast("string"))
     out = texts.mapInPandas(_strings(run) if kind == "bigint" else run, f"id {kind}, row long, first int, full long, crcs array<long>")

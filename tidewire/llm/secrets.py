@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 try:
     from re import _constants as _c
     from re import _parser
@@ -212,7 +214,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     def spans(texts: pd.Series) -> pd.Series:
         return pd.Series([[{"kind": k, "start": a, "end": b} for k, a, b in x] for x in scan_texts(texts.tolist(), rules)], dtype=object)
 
-    return docs.select(F.col(id_col), spans(F.coalesce(F.col(text_col), F.lit(""))).alias("spans"))
+    return small_batches(docs).select(F.col(id_col), spans(F.coalesce(F.col(text_col), F.lit(""))).alias("spans"))
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:

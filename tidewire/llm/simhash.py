@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import keep_rows, staged
+from .common import keep_rows, small_batches, staged
 from .components import connected
 
 WORDS = 3
@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, words, seed) for t in texts], dtype=np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), of(F.coalesce(F.col(text_col), F.lit(""))).alias("fp"))
+    return small_batches(docs).select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), of(F.coalesce(F.col(text_col), F.lit(""))).alias("fp"))
 
 
 def distance(a, b):
