@@ -31,8 +31,12 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: The training sample's bounds.
 PER_LANGUAGE, MOST_TEXTS = 500, 6_000
+#: Ids that are ranked, as a multiple of the sample, about.
+SPARE = 4
 #: Hashed n-gram features, and the n-grams' lengths.
 DIM, LENGTHS = 4096, (1, 2, 3, 4)
 RIDGE = 0.3
@@ -145,10 +149,14 @@ def held_out(id_col: str):
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, most: int = MOST_TEXTS) -> Model:
-    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = small_batches(docs).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out("id") & F.col("text").isNotNull())
-    ranked = rows.select("id", "lang").distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")))
-    first = ranked.where(F.col("r") <= per_language)
+    # a language's ids are thinned by their hash to a few times the sample before they are ranked
+    known = rows.groupBy("lang").agg(F.approx_count_distinct("id").alias("n"))
+    part = F.pmod(F.xxhash64("id"), F.lit(1 << 32)) / float(1 << 32)
+    thin = rows.select("id", "lang").join(F.broadcast(known), "lang").where(part < SPARE * per_language / F.col("n")).select("id", "lang").distinct()
+    order = [F.pmod(F.xxhash64("id"), F.lit(1 << 32)), F.col("id")]
+    first = thin.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("r") <= per_language)
     chosen = first.orderBy("r", "lang").limit(most).select("id", "lang")  # at most ``most`` short rows
 
     @F.pandas_udf("binary")
@@ -170,7 +178,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def of(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(model.predict([None if t is None or t != t else t for t in texts]), columns=["pred", "score", "ambiguous"])
 
-    return docs.withColumn("__lang", of(F.col(text_col)))
+    return small_batches(docs).withColumn("__lang", of(F.col(text_col)))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
