@@ -84,9 +84,9 @@ def table_schema(table: str, partitions: bool = True, query_ts: bool = True) ->
     """Schema of a stored table: its columns, ``query_ts`` (filled by compaction), its partition columns."""
     out = StructType(list({"dns": DNS_SCHEMA, "icmp": ICMP_SCHEMA}[table].fields))
     if query_ts:
-        out = out.add("query_ts", "timestamp")
+        out = out.add("query_ts", TimestampType())
     for name in PARTITIONS[table] if partitions else ():
-        out = out.add(name, "string" if name == "server" else "int")
+        out = out.add(name, StringType() if name == "server" else IntegerType())
     for field in out.fields:
         field.nullable = True
     return out
