@@ -35,7 +35,7 @@ WEIGHTS = (5, 2, 1)
 #: Words that the mix takes, as a share of all words, and as most repeats of one source.
 SHARE, MOST = 1.5, 2
 #: Rows that a bucket of the prefix sums holds, about.
-BUCKET = 4096
+BUCKET = 512
 #: Fixed value: the golden ratio.
 PHI = 1.618033988749895
 
