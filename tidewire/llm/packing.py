@@ -48,7 +48,7 @@ GROUPS = 64
 #: Lengths up to capacity / SMALL count as small.
 SMALL = 4
 #: Rows that share a length and a salt, about.
-BUCKET = 20_000
+BUCKET = 500
 #: Words beyond this many characters go the tokenizers' own way, which is not quadratic in them.
 LONG_WORD = 2_000
 
