@@ -222,7 +222,7 @@ def test_streams(spark, tmp_path):
     captures(source)
     packets = stream_metrics.packets(spark, str(source), "ns1_ams")
     messages = explode_messages(packets.where("error IS NULL AND prot = 17"))
-    flat = messages.select(F.col("seq.seq").alias("seq"), "time", "qr", "id", "qname", "qtype", "client", "port")
+    flat = messages.select((F.col("time") * 1000 + F.col("seq.seq")).alias("seq"), "time", "qr", "id", "qname", "qtype", "client", "port")
     query = matcher.match_stream(flat).writeStream.format("memory").queryName("matched").option("checkpointLocation", str(tmp_path / "c1")).trigger(availableNow=True).start()
     query.awaitTermination(120)
     got = {(r["request"] and r["request"]["id"], r["response"] and r["response"]["id"]) for r in spark.table("matched").collect()}

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,14 +28,14 @@ def ranges(dim: DataFrame) -> DataFrame:
 
 
 def lookup(addresses: DataFrame, key_col: str, dim: DataFrame, best: Column, values: dict[str, str]) -> DataFrame:
-    """``addresses`` (one row per key) with ``values`` (column of dim -> name) of the containing range with the least ``best``."""
+    """``values`` (column of dim -> name) of the range with the least ``best``, for each key of ``addresses`` that a range contains."""
     bucketed = ranges(dim)
     lengths = sorted(r["__len"] for r in bucketed.select("__len").distinct().collect())  # 33 at most
     asked = addresses.where(F.col(key_col).isNotNull()).select(key_col, F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>")).alias("__len"))
     asked = asked.withColumn("__bucket", F.expr(f"substr({key_col}, 1, __len)"))
     hit = asked.join(bucketed, ["__len", "__bucket"]).where(F.col(key_col).between(F.col("lo"), F.col("hi")))
     found = hit.groupBy(key_col).agg(F.min_by(F.struct(*[F.col(c).alias(n) for c, n in values.items()]), best).alias("__v"))
-    return addresses.join(found.select(key_col, *[F.col(f"__v.{n}").alias(n) for n in values.values()]), key_col, "left")
+    return found.select(key_col, *[F.col(f"__v.{n}").alias(n) for n in values.values()])
 
 
 def longest() -> Column:
@@ -59,18 +60,21 @@ def resolver(dim: DataFrame) -> Enricher:
     return lambda addresses, key: lookup(addresses, key, dim, order, {"name": "pub_resolver"})
 
 
-def enrich(df: DataFrame, address_col: str, prefix: str, enrichers: Iterable[Enricher]) -> DataFrame:
+def enrich(df: DataFrame, address_col: str, prefix: str, enrichers: Iterable[Enricher], source: DataFrame | None = None) -> DataFrame:
     """``df`` with the enrichers' columns, named with ``prefix``, for the address in ``address_col``.
 
-    Leave the resolver out of ``enrichers`` where it does not apply.
+    Leave the resolver out of ``enrichers`` where it does not apply. ``source``
+    has all the addresses and is cheaper to read than ``df``, if given. The
+    distinct addresses are kept (in memory, else on disk) for all enrichers.
     """
-    info = df.select(F.col(address_col).alias("__address")).where("__address is not null").distinct().withColumn("__key", ip_key(F.col("__address")))
+    distinct = (df if source is None else source).select(F.col(address_col).alias("__address")).where("__address is not null").distinct()
+    info = distinct.withColumn("__key", ip_key(F.col("__address"))).persist(StorageLevel.MEMORY_AND_DISK)
     keys = info.where("__key is not null").select("__key").distinct()
+    named = info
     for enricher in enrichers:
-        keys = enricher(keys, "__key")
-    info = info.join(keys, "__key").drop("__key")
-    named = info.select("__address", *[F.col(c).alias(f"{prefix}{c}") for c in info.columns if c != "__address"])
-    return df.join(named, F.col(address_col) == F.col("__address"), "left").drop("__address")
+        found = enricher(keys, "__key")
+        named = named.join(found.select("__key", *[F.col(c).alias(f"{prefix}{c}") for c in found.columns if c != "__key"]), "__key", "left")
+    return df.join(named.drop("__key"), F.col(address_col) == F.col("__address"), "left").drop("__address")
 
 
 def resolver_dim(spark: SparkSession, prefixes: dict[str, list[str]]) -> DataFrame:

@@ -18,6 +18,7 @@ key, so the plan has one shuffle.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,14 +79,17 @@ def match_files(messages: DataFrame, file_col: str, files: list[str], timeout_ms
     """(joined, pending) of several files in order; queries stay pending across files.
 
     Zone transfers are followed over the whole run; each file then is matched
-    with what the files before left pending. The loop is over files, which the
-    reference order makes sequential; the work within a file is distributed.
+    with what the files before left pending. The loop is over files, whose order
+    makes it sequential; the work within a file is distributed. Each file's
+    classified messages are kept (in memory, else on disk), as both its rows and
+    the next file need them; otherwise plans would grow with the square of the
+    files.
     """
     clean, pending, parts = suppress_zone_transfers(messages), None, []
     for name in files:
         # the last time is that of all the file's messages, suppressed ones too
         part = clean.where(F.col(file_col) == name)
-        joined, pending = _match_one(part, messages.where(F.col(file_col) == name), timeout_ms, pending)
+        joined, pending = _match_one(part, messages.where(F.col(file_col) == name), timeout_ms, pending, keep=True)
         parts.append(joined)
     out = parts[0]
     for part in parts[1:]:
@@ -93,15 +97,17 @@ def match_files(messages: DataFrame, file_col: str, files: list[str], timeout_ms
     return out, pending
 
 
-def _match_one(clean: DataFrame, every: DataFrame, timeout_ms: int, pending: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _match_one(clean: DataFrame, every: DataFrame, timeout_ms: int, pending: DataFrame | None, keep: bool = False) -> tuple[DataFrame, DataFrame]:
     own = [c for c in every.columns if c not in PENDING_COLUMNS]
     rows = clean.withColumn("__run_start", F.lit(None).cast("bigint"))
     found = classify(rows.unionByName(pending) if pending is not None else rows)
+    if keep:
+        found = found.persist(StorageLevel.MEMORY_AND_DISK)
     last = last_time(every)
     late = F.col("__run_start") < last - F.lit(timeout_ms)
     me, none = F.struct(*own), F.lit(None)
-    keep = F.col("__kind").isin("pair", "response") | ((F.col("__kind") == "pending") & late & F.col("qname").isNotNull())
-    joined = found.where(keep).select(
+    given = F.col("__kind").isin("pair", "response") | ((F.col("__kind") == "pending") & late & F.col("qname").isNotNull())
+    joined = found.where(given).select(
         F.when(F.col("__kind") == "pair", F.col("__before")).when(F.col("__kind") == "pending", me).otherwise(none).alias("request"),
         F.when(F.col("__kind") != "pending", me).otherwise(none).alias("response"),
         (F.col("__kind") == "pending").alias("expired"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,9 +87,10 @@ def dns_rows(joined: DataFrame, privacy: bool = False, enrichers: Iterable[Enric
     rows = registered_domain(rows, "qname", "domainname", suffixes)
     enrichers = list(enrichers)
     if enrichers or resolver:
+        base = rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # addresses and rows both read it
         rows = enrich(rows, "src", "", [*enrichers, *([resolver] if resolver else [])])
     if enrichers:
-        rows = enrich(rows, "__subnet", "edns_client_subnet_", enrichers)
+        rows = enrich(rows, "__subnet", "edns_client_subnet_", enrichers, base)
     return without_personal(_cast(rows, DNS_SCHEMA, ["server", "dns_query", "dns_response"]), "dns", privacy)
 
 

@@ -63,8 +63,10 @@ def ingest(spark: SparkSession, folder: str, settings: Settings | None = None, l
     # order over files: name, then packet, then message
     messages = explode_messages(dns).withColumn("seq", F.struct("pcap_file", "seq"))
     joined, pending = match_files(messages, "pcap_file", names, s.timeout_ms)
+    joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
     rows = dns_rows(joined, s.privacy, s.enrichers, s.suffixes, s.resolver)
     icmp_table = icmp_rows(icmp, s.privacy, s.enrichers, s.suffixes, s.resolver)
+    rows, icmp_table = rows.persist(StorageLevel.MEMORY_AND_DISK), icmp_table.persist(StorageLevel.MEMORY_AND_DISK)
     return Result(rows, icmp_table, all_metrics(rows, icmp_table), pending, names, packets.where(F.col("error").isNotNull()).unionByName(rejected))
 
 
@@ -72,7 +74,6 @@ def store(result: Result, root: str) -> Iterable[DataFrame]:
     """Append both tables below ``root``; returns the partitions that they touched."""
     touched = []
     for table, rows in (("dns", result.dns), ("icmp", result.icmp)):
-        kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        sink.write(kept, f"{root}/{table}", table)
-        touched.append(sink.partitions_of(kept, table))
+        sink.write(rows, f"{root}/{table}", table)
+        touched.append(sink.partitions_of(rows, table))
     return touched

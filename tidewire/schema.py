@@ -87,6 +87,4 @@ def table_schema(table: str, partitions: bool = True, query_ts: bool = True) ->
         out = out.add("query_ts", TimestampType())
     for name in PARTITIONS[table] if partitions else ():
         out = out.add(name, StringType() if name == "server" else IntegerType())
-    for field in out.fields:
-        field.nullable = True
-    return out
+    return StructType([StructField(f.name, f.dataType, True) for f in out.fields])
