@@ -63,7 +63,7 @@ def features(text: str) -> np.ndarray:
         part = lower[max(0, at - max(LENGTHS) + 1) : at + CHUNK] if at else lower[:CHUNK]
         code = np.frombuffer(part.encode("utf-32-le", "replace"), np.uint32).copy()
         code[(code < 97) | ((code > 122) & (code < 192))] = 32
-        own = len(part) - min(len(part), CHUNK) if at else 0
+        own = min(at, max(LENGTHS) - 1)  # characters repeated from the chunk before
         for n in LENGTHS:
             if len(code) < n:
                 continue
