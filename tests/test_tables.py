@@ -68,6 +68,15 @@ def test_ledger_and_newest(spark, tmp_path):
     assert ingest.choose(spark, str(tmp_path), ledger, ingest.Settings(skip_newest=True)) == ["a-2.pcap"]
 
 
+def test_record(spark, result, tmp_path):
+    began, ended = datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 10, 0, 9)
+    ledger = ingest.record(spark, result, str(tmp_path), ingest.Settings(server="ns1_ams"), began, ended, maintenance.ARCHIVE, str(tmp_path / "done"))
+    rows = {r["file"]: (r["rows"], r["time"], r["server"], r["mode"]) for r in ledger.collect()}
+    assert rows == {"a-1.pcap": (4, 9, "ns1_ams", "ARCHIVE"), "a-2.pcap": (3, 9, "ns1_ams", "ARCHIVE"), "broken.pcap": (0, 9, "ns1_ams", "ARCHIVE")}
+    assert sorted(p.name for p in (tmp_path / "done").glob("*.pcap")) == sorted(rows) and not list(tmp_path.glob("*.pcap"))
+    assert ledger.columns == LEDGER_SCHEMA.names
+
+
 def test_privacy(spark, tmp_path):
     captures(tmp_path)
     out = ingest.ingest(spark, str(tmp_path), ingest.Settings(privacy=True))

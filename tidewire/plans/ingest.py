@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewire.operators import files as inputs
+from tidewire.operators import maintenance
 from tidewire.operators.enrich import Enricher
 from tidewire.operators.matching import TIMEOUT_MS, match_files
 from tidewire.operators.metrics import all_metrics
 from tidewire.operators.routing import explode_messages, split
 from tidewire.operators.rows import dns_rows, icmp_rows
+from tidewire.schema import LEDGER_SCHEMA
 from tidewire.sources import pcap, sink
 
 
@@ -39,6 +42,7 @@ class Result:
     pending: DataFrame | None
     files: list[str]
     rejected: DataFrame
+    packets: DataFrame
 
 
 def choose(spark: SparkSession, folder: str, ledger: DataFrame | None, settings: Settings) -> list[str]:
@@ -67,7 +71,33 @@ def ingest(spark: SparkSession, folder: str, settings: Settings | None = None, l
     rows = dns_rows(joined, s.privacy, s.enrichers, s.suffixes, s.resolver)
     icmp_table = icmp_rows(icmp, s.privacy, s.enrichers, s.suffixes, s.resolver)
     rows, icmp_table = rows.persist(StorageLevel.MEMORY_AND_DISK), icmp_table.persist(StorageLevel.MEMORY_AND_DISK)
-    return Result(rows, icmp_table, all_metrics(rows, icmp_table), pending, names, packets.where(F.col("error").isNotNull()).unionByName(rejected))
+    return Result(rows, icmp_table, all_metrics(rows, icmp_table), pending, names, packets.where(F.col("error").isNotNull()).unionByName(rejected), packets)
+
+
+def record(spark: SparkSession, result: Result, folder: str, settings: Settings, began: datetime, ended: datetime, mode: str = maintenance.NONE, archive: str | None = None) -> DataFrame:
+    """Ledger rows of the run's files; with a ``mode`` the files are archived or deleted as well.
+
+    One row per file, also for files that gave no rows, so that none is read
+    again. ``rows`` counts a file's packets.
+    """
+    counts = result.packets.where("error IS NULL").groupBy(F.col("pcap_file").alias("file")).agg(F.count("*").alias("rows"))
+    listed = inputs.discover(spark, folder).where(F.col("file").isin(result.files)).select("file", "path", "bytes")
+    rows = listed.join(counts, "file", "left").select(
+        F.row_number().over(Window.orderBy("file")).alias("id"),
+        F.lit(began).alias("date_start"),
+        F.lit(ended).alias("date_end"),
+        F.lit(int((ended - began).total_seconds())).alias("time"),
+        "file",
+        F.lit(settings.server).alias("server"),
+        "path",
+        F.coalesce("rows", F.lit(0)).alias("rows"),
+        F.lit(mode).alias("mode"),
+        "bytes",
+    )
+    ledger = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER_SCHEMA.fields]).persist(StorageLevel.MEMORY_AND_DISK)
+    for row in ledger.select("path").collect():  # as many as the run had files
+        maintenance.archive(spark, row["path"], mode, archive)
+    return ledger
 
 
 def store(result: Result, root: str) -> Iterable[DataFrame]:
