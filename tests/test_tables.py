@@ -77,6 +77,18 @@ def test_record(spark, result, tmp_path):
     assert ledger.columns == LEDGER_SCHEMA.names
 
 
+def test_pending_queries_of_an_earlier_run(spark, tmp_path):
+    for i, packets in enumerate(([c.query(NOON, 5), c.query(NOON + 1, 6, sport=41000)], [c.answer(NOON + 1500, 5)])):
+        (tmp_path / f"{i}").mkdir()
+        (tmp_path / f"{i}" / f"b-{i}.pcap").write_bytes(c.pcap(packets))
+    first = ingest.ingest(spark, str(tmp_path / "0"))
+    assert first.dns.count() == 0
+    first.pending.write.parquet(str(tmp_path / "pending"))
+    second = ingest.ingest(spark, str(tmp_path / "1"), pending=spark.read.parquet(str(tmp_path / "pending")))
+    assert [(r["id"], r["proc_time"], r["pcap_file"]) for r in second.dns.collect()] == [(5, 1500, "b-0.pcap")]
+    assert [r["id"] for r in second.pending.collect()] == [6]
+
+
 def test_privacy(spark, tmp_path):
     captures(tmp_path)
     out = ingest.ingest(spark, str(tmp_path), ingest.Settings(privacy=True))

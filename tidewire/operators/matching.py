@@ -75,8 +75,8 @@ def match(messages: DataFrame, timeout_ms: int = TIMEOUT_MS, pending: DataFrame
     return _match_one(suppress_zone_transfers(messages) if transfers else messages, messages, timeout_ms, pending)
 
 
-def match_files(messages: DataFrame, file_col: str, files: list[str], timeout_ms: int = TIMEOUT_MS) -> tuple[DataFrame, DataFrame]:
-    """(joined, pending) of several files in order; queries stay pending across files.
+def match_files(messages: DataFrame, file_col: str, files: list[str], timeout_ms: int = TIMEOUT_MS, pending: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(joined, pending) of several files in order; queries stay pending across files, and from an earlier run in ``pending``.
 
     Zone transfers are followed over the whole run; each file then is matched
     with what the files before left pending. The loop is over files, whose order
@@ -85,7 +85,7 @@ def match_files(messages: DataFrame, file_col: str, files: list[str], timeout_ms
     the next file need them; otherwise plans would grow with the square of the
     files.
     """
-    clean, pending, parts = suppress_zone_transfers(messages), None, []
+    clean, parts = suppress_zone_transfers(messages), []
     for name in files:
         # the last time is that of all the file's messages, suppressed ones too
         part = clean.where(F.col(file_col) == name)

@@ -55,8 +55,11 @@ def choose(spark: SparkSession, folder: str, ledger: DataFrame | None, settings:
     return [r["file"] for r in found.select("file").orderBy("file").collect()]
 
 
-def ingest(spark: SparkSession, folder: str, settings: Settings | None = None, ledger: DataFrame | None = None) -> Result | None:
-    """Read a folder's new captures; None if there are none. Nothing is written."""
+def ingest(spark: SparkSession, folder: str, settings: Settings | None = None, ledger: DataFrame | None = None, pending: DataFrame | None = None) -> Result | None:
+    """Read a folder's new captures; None if there are none. Nothing is written.
+
+    ``pending`` has the queries that an earlier run left, as stored from its result.
+    """
     s = settings or Settings()
     names = choose(spark, folder, ledger, s)
     if not names:
@@ -66,7 +69,7 @@ def ingest(spark: SparkSession, folder: str, settings: Settings | None = None, l
     dns, icmp, rejected = split(good, s.icmp, s.tcp)
     # order over files: name, then packet, then message
     messages = explode_messages(dns).withColumn("seq", F.struct("pcap_file", "seq"))
-    joined, pending = match_files(messages, "pcap_file", names, s.timeout_ms)
+    joined, pending = match_files(messages, "pcap_file", names, s.timeout_ms, pending)
     joined = joined.persist(StorageLevel.MEMORY_AND_DISK)
     rows = dns_rows(joined, s.privacy, s.enrichers, s.suffixes, s.resolver)
     icmp_table = icmp_rows(icmp, s.privacy, s.enrichers, s.suffixes, s.resolver)
