@@ -74,7 +74,7 @@ def dns_rows(joined: DataFrame, privacy: bool = False, enrichers: Iterable[Enric
         "srcp": swapped("srcp", "dstp"),
         "dst": swapped("dst", "src"),
         "dstp": swapped("dstp", "srcp"),
-        "proc_time": r["time"] - q["time"],
+        "proc_time": (r["time"] - q["time"]).try_cast("int"),  # null beyond 24 days
         "pcap_file": either("pcap_file"),
         "server_location": either("server_location"),
         "server": either("server"),

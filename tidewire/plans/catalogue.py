@@ -156,7 +156,7 @@ t AS (SELECT *, qs IS NOT NULL AS hq, rs IS NOT NULL AND r.qname IS NOT NULL AS
     CASE WHEN asked THEN q.tcp_hs_rtt END AS tcp_hs_rtt,
     coalesce(q.client, r.client) AS src, coalesce(q.port, r.port) AS srcp, '192.0.2.53' AS dst, 53 AS dstp,
     coalesce(q.prot, r.prot) AS prot, coalesce(q.ipv, r.ipv) AS ipv,
-    CASE WHEN qs IS NOT NULL AND rs IS NOT NULL THEN CAST(r.time - q.time AS INTEGER) END AS proc_time,
+    CASE WHEN qs IS NOT NULL AND rs IS NOT NULL THEN TRY_CAST(r.time - q.time AS INTEGER) END AS proc_time,
     coalesce(q.pcap_file, r.pcap_file) AS pcap_file, 'ams' AS server_location FROM t"""
 )
 def dns_rows_min(spark, sf):
@@ -620,7 +620,7 @@ def balance_union(spark, sf):
     return balance(m.where("qr = 0"), 4).unionByName(balance(m.where("qr = 1"), 4)).select("pcap_file").distinct()
 
 
-@query(M + "SELECT pcap_file, CASE WHEN count(*) = 0 THEN '0' ELSE printf('%.2f', count_if(qr = 1) * 100.0 / count(*)) END AS share, CAST((max(time) - min(time)) // 1000 AS INTEGER) AS seconds FROM m GROUP BY pcap_file")
+@query(M + "SELECT pcap_file, CASE WHEN count(*) = 0 THEN '0' ELSE printf('%.2f', round(count_if(qr = 1) * 100.0::DOUBLE / count(*), 2)) END AS share, CAST((max(time) - min(time)) // 1000 AS INTEGER) AS seconds FROM m GROUP BY pcap_file")
 def percent_elapsed(spark, sf):
     per = pseudo.messages(spark, sf).groupBy("pcap_file").agg(F.count_if(F.col("qr") == 1).alias("r"), F.count("*").alias("n"), F.min("time").alias("a"), F.max("time").alias("b"))
     return per.select("pcap_file", lb.percent(F.col("r"), F.col("n")).alias("share"), elapsed_seconds(query_ts(F.col("a")), query_ts(F.col("b"))).alias("seconds"))
