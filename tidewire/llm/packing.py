@@ -11,7 +11,9 @@ counts describes it whatever the corpus, and the plan is made from that:
 2. few-size configurations: every multiset of at most three rounded lengths
    that fits is a configuration; a linear program (simplex with all columns
    priced) covers the groups with fewest sequences, and its floor is taken;
-3. substitution: real lengths replace the rounded ones, run by run;
+3. substitution: real lengths replace the rounded ones, run by run; the last
+   place of a sequence takes the longest length that really fits, which is never
+   shorter than what the configuration foresaw;
 4. the large ones left over, then the small ones, longest first, go best-fit
    into the tightest gap that takes them.
 
@@ -44,7 +46,7 @@ CAPACITY = 1024
 #: Id that ends each document.
 END = 2
 #: Groups of equal cardinality.
-GROUPS = 64
+GROUPS = 96
 #: Lengths up to capacity / SMALL count as small.
 SMALL = 4
 #: Rows that share a length and a salt, about.
@@ -138,7 +140,9 @@ def _strings(run):
 
 
 def groups(counts: dict[int, int], k: int) -> list[tuple[int, dict[int, int]]]:
-    """Equal-cardinality groups, longest first: (rounded length, {length: count})."""
+    """Equal-cardinality groups, longest first: (rounded length, {length: count}). With at most k lengths, a group for each."""
+    if len(counts) <= k:
+        return [(n, {n: counts[n]}) for n in sorted(counts, reverse=True)]
     each, out, room = -(-sum(counts.values()) // k) if counts else 0, [], 0
     for length in sorted(counts, reverse=True):
         left = counts[length]
@@ -159,7 +163,7 @@ def configurations(tops: list[int], capacity: int, most: int = 3) -> list[tuple[
 def cover(need: np.ndarray, configs: list[tuple[int, ...]]) -> dict[tuple[int, ...], int]:
     """Whole numbers of configurations that cover at most ``need``: the floor of the linear program's optimum."""
     k = len(need)
-    a = np.zeros((k, len(configs)))
+    a = np.zeros((k, len(configs)), np.float32)
     for j, c in enumerate(configs):
         for g in c:
             a[g, j] += 1
@@ -168,11 +172,11 @@ def cover(need: np.ndarray, configs: list[tuple[int, ...]]) -> dict[tuple[int, .
     inverse, x = np.eye(k), need.astype(float)
     for _ in range(60 * k):
         price = inverse.sum(axis=0)
-        gain = price @ a
+        gain = price.astype(np.float32) @ a
         j = int(gain.argmax())
-        if gain[j] <= 1 + 1e-9:
+        if gain[j] <= 1 + 1e-5:
             break
-        d = inverse @ a[:, j]
+        d = inverse @ a[:, j].astype(float)
         ok = d > 1e-9
         ratio = np.full(k, np.inf)
         ratio[ok] = x[ok] / d[ok]
@@ -237,30 +241,35 @@ class _Bins:
 def plan(counts: dict[int, int], capacity: int = CAPACITY, k: int = GROUPS) -> tuple[list[tuple[int, int, int, int, int]], int]:
     """Rows (length, rank_lo, rank_hi, sequence of rank_lo, offset) and the number of sequences."""
     large = {n: c for n, c in counts.items() if n > capacity // SMALL}
-    grouped = groups(large, k)
-    pools = [sorted(g.items(), reverse=True) for _, g in grouped]
-    tops, bins = [t for t, _ in grouped], _Bins(capacity)
+    grouped, bins, left = groups(large, k), _Bins(capacity), dict(large)
+
+    def put(runs: list, lengths: list[int]) -> list:
+        """Add to each run (first sequence, sequences, tokens used) the longest of ``lengths`` that are left and fit."""
+        out = []
+        for first, many, used in runs:
+            for length in lengths:
+                if many and left[length] and used + length <= capacity:
+                    take = min(many, left[length])
+                    bins.place(length, take, first, used)
+                    out.append((first, take, used + length))
+                    left[length] -= take
+                    first, many = first + take, many - take
+            if many:
+                bins.open(first, many, used)
+        return out
+
     if grouped:
-        chosen = cover(np.array([sum(g.values()) for _, g in grouped]), configurations(tops, capacity))
+        everything = sorted(large, reverse=True)
+        pools = [sorted(g, reverse=True) for _, g in grouped]
+        chosen = cover(np.array([sum(g.values()) for _, g in grouped]), configurations([t for t, _ in grouped], capacity))
         for config, n in sorted(chosen.items()):
-            runs = [(bins.new(n), n, 0)]  # first sequence, sequences, tokens used
-            for g in config:
-                out = []
-                for first, many, used in runs:
-                    while many:
-                        length, left = pools[g][0]
-                        take = min(many, left)
-                        bins.place(length, take, first, used)
-                        out.append((first, take, used + length))
-                        first, many = first + take, many - take
-                        pools[g][:1] = [(length, left - take)] if left > take else []
-                runs = out
+            n = min(n, sum(left[x] for x in pools[config[0]]))
+            runs = [(bins.new(n), n, 0)] if n else []
+            for i, g in enumerate(config):
+                # the last place was kept for any length of its group, so it takes the longest that really fits
+                runs = put(runs, pools[g] if i == 0 or i < len(config) - 1 else everything)
             for run in runs:
                 bins.open(*run)
-    left: dict[int, int] = defaultdict(int)
-    for pool in pools:
-        for length, n in pool:
-            left[length] += n
     for length in sorted(left, reverse=True):
         bins.best_fit(length, left[length])
     for length in sorted((n for n in counts if n not in large), reverse=True):
