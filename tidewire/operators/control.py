@@ -65,9 +65,19 @@ def due_for_purge(known: DataFrame, now: Column) -> DataFrame:
     return due(known, now, F.make_dt_interval(days=F.lit(1)))
 
 
-def mark(known: DataFrame, ids: list[int], what: str, start: Column, end: Column, ok: bool) -> DataFrame:
-    """``known`` with the result of a compaction or privacy_purge; failed ones are marked too, and so not tried again."""
-    hit = F.col("id").isin(ids)
+def mark(known: DataFrame, ids: list[int] | DataFrame, what: str, start: Column, end: Column, ok: bool) -> DataFrame:
+    """``known`` with the result of a compaction or privacy_purge; failed ones are marked too, and so not tried again.
+
+    ``ids``: a list, or a table with column id.
+    """
+    if isinstance(ids, DataFrame):
+        asked = ids.select("id").distinct().withColumn("__hit", F.lit(True))
+        marked = _marked(known.join(asked, "id", "left"), F.coalesce("__hit", F.lit(False)), what, start, end, ok)
+        return marked.select(*known.columns)
+    return _marked(known, F.col("id").isin(ids), what, start, end, ok)
+
+
+def _marked(known: DataFrame, hit: Column, what: str, start: Column, end: Column, ok: bool) -> DataFrame:
     took = elapsed_seconds(start, end)
     cols = {f"{what}_ts": end, f"{what}_time": took, f"{what}_ok": F.lit(ok)}
     return known.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in cols.items()})

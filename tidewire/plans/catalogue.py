@@ -596,6 +596,16 @@ def partition_mark(spark, sf):
     return out.agg(F.count_if(hit).cast("decimal(38,0)").alias("marked"), F.sum(F.when(hit, F.col("compaction_time")).otherwise(0)).cast("decimal(38,0)").alias("seconds"))
 
 
+@query("SELECT sum(CASE WHEN o_custkey % 10 = 0 THEN 1 ELSE 0 END) AS marked, sum(CASE WHEN o_custkey % 10 = 0 THEN 90 ELSE 0 END) AS seconds FROM (SELECT DISTINCT o_custkey FROM orders)")
+def partition_mark_all(spark, sf):
+    """``partition_mark`` over the whole table, by ids taken from it."""
+    known = _partitions(spark, sf)
+    start = F.lit("2024-01-20 12:28:30").cast("timestamp")
+    out = control.mark(known, known.where("id % 10 = 0").select("id"), "compaction", start, _now(), False)
+    hit = F.col("compaction_ok") == F.lit(False)
+    return out.agg(F.count_if(hit).cast("decimal(38,0)").alias("marked"), F.sum(F.when(hit, F.col("compaction_time")).otherwise(0)).cast("decimal(38,0)").alias("seconds"))
+
+
 # --- flows and writers ---
 
 
