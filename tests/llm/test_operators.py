@@ -501,6 +501,35 @@ def test_crowded_entries_still_group(spark):
     assert {r["group_id"] for r in got} == {0}
 
 
+def test_image_seeds_at_many_bits(spark):
+    rng = np.random.default_rng(3)
+    rows, pairs = [], []
+    for i in range(24):
+        own, flips = rng.integers(0, 2, (40, 256), dtype=np.uint8), (8, 16, 24)[i % 3]
+        other = own.copy()
+        for bits in other:
+            bits[rng.permutation(256)[:flips]] ^= 1
+        pairs.append((2 * i + 1, 2 * i))
+        for img, bits in ((2 * i, own), (2 * i + 1, other)):
+            words = np.packbits(bits, axis=1).view(">i8").tolist()
+            rows += [(img, k, (float(k % 7 * 20), float(k // 7 * 20), 0.0, 1.0, d)) for k, d in enumerate(words)]
+    corners = spark.createDataFrame(rows, f"img long, corner int, c {images.CORNER}")
+    got = {(r["a"], r["b"]): r["n"] for r in images.links(corners).collect()}
+    assert set(got) == set(pairs) and min(got.values()) == 40
+
+
+def test_image_sizes_turns_and_small_crops(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(4):
+        px = 128 + 40 * images.resize(rng.normal(0, 1, (43, 43)), 300, 300) + 25 * images.resize(rng.normal(0, 1, (107, 107)), 300, 300)
+        shown = [px, *[media.variant(px, k, i) for k in range(4, 10)], px[70:170, 90:190]]  # the last: a ninth of the area
+        rows += [(10 * i + k, images.encode(p)) for k, p in enumerate(shown)]
+    got = images.find_copies(spark.createDataFrame(rows, "id long, image binary")).collect()
+    assert all(r["group_id"] == r["id"] - r["id"] % 10 for r in got)
+    assert max(r["n_corners"] for r in got) > 128
+
+
 # --- shared ---
 
 
