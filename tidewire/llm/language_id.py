@@ -10,15 +10,19 @@ a small gap to the next one flags ambiguity.
 
 The classifier learns from a bounded sample, ``PER_LANGUAGE`` texts a language
 and ``MOST_TEXTS`` in all, chosen by a hash of the id among all labelled rows
-outside the held-out fold; features are computed by the tasks, so only that many
-vectors of ``DIM`` counts reach the driver. Whole texts are read, in learning
-and in prediction. Language, source and id are never inputs of a prediction.
+outside the held-out fold. Features are computed by the tasks, and one task
+solves for the weights (conjugate gradients over at most ``MOST_TEXTS`` vectors
+of ``DIM`` counts, some 100 MB); nothing but the weights reaches the driver.
+Whole texts are read, in learning and in prediction, long ones in chunks.
+Language, source and id are never inputs of a prediction.
 
 Defined cases: null text and text without a letter are ``und`` with score 0 (so
 is everything when no language can be learned); with one learned language all
-other texts get it; null ids are not held out and not learned from; repeated
-rows are predicted alike and learned from once; an empty table gives an empty
-result; other columns of the input are ignored.
+other texts get it; of languages at equal distance the first by name wins and
+the text is ambiguous; null ids are not held out and not learned from; repeated
+rows are predicted alike and learned from once (of several texts under one id
+and language, one); an empty table gives an empty result; other columns of the
+input are ignored.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,6 +55,7 @@ SHARP = 8.0
 CHUNK = 1 << 16
 UNKNOWN = "und"
 
+_MODEL = pa.schema([("languages", pa.list_(pa.string())), ("weight", pa.binary()), ("bias", pa.binary()), ("trust", pa.binary())])
 _letter = regex.compile(r"\p{L}")
 #: Fixed value: odd multipliers of the rolling hash.
 _MIX = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
@@ -98,23 +104,59 @@ def codewords(k: int, seed: int = 7) -> np.ndarray:
     return best[1]
 
 
+def solve(x: np.ndarray, want: np.ndarray, scale: np.ndarray, ridge: float = RIDGE) -> tuple[np.ndarray, np.ndarray]:
+    """(weight, bias) of the ridge regression of ``want`` on ``x``, rows weighted by ``scale`` squared: conjugate gradients on the normal equations.
+
+    ``x`` is only read, in blocks, so memory beyond it is a few vectors a bit.
+    """
+    weigh = (scale * scale)[:, None]
+
+    def back(rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((x.shape[1] + 1, rows.shape[1]))
+        for i in range(0, len(x), 512):
+            out[:-1] += x[i : i + 512].astype(float).T @ rows[i : i + 512]
+        out[-1] = rows.sum(axis=0)
+        return out
+
+    def ahead(w: np.ndarray) -> np.ndarray:
+        return np.concatenate([x[i : i + 512].astype(float) @ w[:-1] for i in range(0, len(x), 512)]) + w[-1]
+
+    w = np.zeros((x.shape[1] + 1, want.shape[1]))
+    left = back(weigh * want)
+    step, size = left.copy(), (left * left).sum(axis=0)
+    least = 1e-14 * size
+    for _ in range(500):
+        if (size <= least).all():
+            break
+        bent = back(weigh * ahead(step)) + ridge * step
+        far = size / np.maximum((step * bent).sum(axis=0), 1e-300)
+        w += far * step
+        left -= far * bent
+        before, size = size, (left * left).sum(axis=0)
+        step = left + (size / np.maximum(before, 1e-300)) * step
+    return w[:-1].astype(np.float32), w[-1].astype(np.float32)
+
+
 class Model:
     """Learned languages, their codewords, the bits' classifiers and the decoding weights."""
 
-    def __init__(self, languages: list[str], x: np.ndarray, y: np.ndarray, ridge: float = RIDGE):
-        """``x``: one feature row per text; ``y``: the index of its language."""
+    def __init__(self, languages: list[str], weight: np.ndarray | None = None, bias: np.ndarray | None = None, trust: np.ndarray | None = None):
         self.languages, self.code = languages, codewords(len(languages))
+        self.weight, self.bias, self.trust = weight, bias, trust
+
+    @classmethod
+    def learned(cls, languages: list[str], x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> Model:
+        """``x``: one feature row per text; ``y``: the index of its language."""
+        model = cls(languages)
         if len(languages) < 2:
-            return
+            return model
         share = np.bincount(y, minlength=len(languages)).astype(float)
-        scale = np.sqrt(len(y) / (len(languages) * share[y]))[:, None]  # languages count alike
-        a = (np.hstack([x, np.ones((len(x), 1), np.float32)]) * scale).astype(np.float64)
-        want = self.code[y] * scale
-        solved = a.T @ np.linalg.solve(a @ a.T + ridge * np.eye(len(a)), want)
-        self.weight, self.bias = solved[:-1].astype(np.float32), solved[-1].astype(np.float32)
-        right = self.margins(x) * self.code[y] > 0
+        scale = np.sqrt(len(y) / (len(languages) * share[y]))  # languages count alike
+        model.weight, model.bias = solve(x, model.code[y], scale, ridge)
+        right = model.margins(x) * model.code[y] > 0
         good = np.array([right[y == c].mean(axis=0) for c in range(len(languages))])
-        self.trust = good / np.maximum(good.sum(axis=1, keepdims=True), 1e-9)
+        model.trust = good / np.maximum(good.sum(axis=1, keepdims=True), 1e-9)
+        return model
 
     def margins(self, x: np.ndarray) -> np.ndarray:
         return x @ self.weight + self.bias
@@ -164,11 +206,26 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return pd.Series([features(t).tobytes() if _letter.search(t) else None for t in texts], dtype=object)
 
     some = rows.join(F.broadcast(chosen), ["id", "lang"]).select("id", "lang", vector("text").alias("x")).where("x is not null")
-    got = sorted((r["lang"], r["id"], bytes(r["x"])) for r in some.dropDuplicates(["id", "lang"]).collect())
-    languages = sorted({lang for lang, _, _ in got})
-    at = {lang: i for i, lang in enumerate(languages)}
-    x = np.stack([np.frombuffer(v, np.float32) for _, _, v in got]) if got else np.zeros((0, DIM), np.float32)
-    return Model(languages, x, np.array([at[lang] for lang, _, _ in got], dtype=int))
+    one = some.groupBy("lang", "id").agg(F.min("x").alias("x")).repartition(1).sortWithinPartitions("lang", "id").select("lang", "x")
+
+    def learn(batches):
+        x, names = np.empty((most, DIM), np.float32), []
+        for batch in batches:
+            for v in batch.column(1):
+                x[len(names)] = np.frombuffer(v.as_buffer(), np.float32)
+                names.append(None)
+            names[len(names) - batch.num_rows :] = batch.column(0).to_pylist()
+        languages = sorted(set(names))
+        at = {lang: i for i, lang in enumerate(languages)}
+        m = Model.learned(languages, x[: len(names)], np.array([at[n] for n in names], dtype=int))
+        parts = [None if p is None else np.ascontiguousarray(p).tobytes() for p in (m.weight, m.bias, m.trust)]
+        yield pa.RecordBatch.from_pylist([{"languages": languages, "weight": parts[0], "bias": parts[1], "trust": parts[2]}], _MODEL)
+
+    got = one.mapInArrow(learn, "languages array<string>, weight binary, bias binary, trust binary").collect()  # one row, the weights
+    if not got or got[0]["weight"] is None:
+        return Model(list(got[0]["languages"]) if got else [])
+    languages, bias = list(got[0]["languages"]), np.frombuffer(got[0]["bias"], np.float32)
+    return Model(languages, np.frombuffer(got[0]["weight"], np.float32).reshape(DIM, len(bias)), bias, np.frombuffer(got[0]["trust"]).reshape(len(languages), len(bias)))
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
