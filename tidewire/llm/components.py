@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, staged
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -30,7 +30,9 @@ def connected(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = staged(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = staged(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        last, now = now, staged(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        discard(last)
+        discard(large)
         before, seen = seen, _state(now)
         if seen == before:
             break

@@ -3,8 +3,8 @@
 Texts are equal when identical after lower-casing A-Z; the largest ``doc_id``
 of a group stays. Steps:
 
-1. one pass over the texts gives (id, SHA-256); repeated (id, digest) rows are
-   pre-aggregated to a count, and the narrow result is staged;
+1. one pass over the texts gives (id, SHA-256, row number), staged without a
+   shuffle;
 2. a Misra-Gries family summary (Spark's frequent-items sketch, built for each
    group of partitions and merged) names digests that may hold more than about
    0.2 % of all rows;
@@ -24,10 +24,10 @@ result; other columns of the input are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, keep_rows, staged
+from .common import ascii_lower, drop_rows, staged
 
 #: Counters of the frequent-items sketch; its error is about 3.5 / TRACKED of all rows.
 TRACKED = 4096
@@ -50,43 +50,37 @@ def frequent(rows: DataFrame, digest: str, tracked: int = TRACKED, winners: int
     )
 
 
-def resolve(rows: DataFrame, digest: str, id_col: str, count: str, tracked: int = TRACKED, winners: int = WINNERS) -> DataFrame:
-    """``rows`` with ``keep_id`` and ``group_size`` of each row's digest.
+def resolve(rows: DataFrame, digest: str, id_col: str, row: str, tracked: int = TRACKED, winners: int = WINNERS) -> DataFrame:
+    """``rows`` with ``group_size``, ``keep_id`` and ``keep_row`` (one row that has it) of each row's digest.
 
     ``rows`` is read several times, so pass a staged table.
     """
     candidates = F.broadcast(frequent(rows, digest, tracked, winners))
-    totals = [F.sum(count).alias("group_size"), F.max(id_col).alias("keep_id")]
-    heavy = staged(
-        rows.join(candidates, F.xxhash64(digest) == F.col("candidate"), "left_semi").groupBy(digest).agg(*totals), "winners"
-    )
+    totals = [F.count("*").alias("group_size"), F.max(F.struct(F.col(id_col).alias("id"), (-F.col(row)).alias("back"))).alias("__top")]
+    heavy = staged(rows.join(candidates, F.xxhash64(digest) == F.col("candidate"), "left_semi").groupBy(digest).agg(*totals), "winners")
     split = rows.join(F.broadcast(heavy), digest, "left")
-    rest = split.where(F.col("group_size").isNull()).drop("group_size", "keep_id")
-    light = rest.groupBy(digest).agg(*totals)
-    return split.where(F.col("group_size").isNotNull()).unionByName(rest.join(light, digest))
+    rest = rows.join(F.broadcast(heavy.select(digest)), digest, "left_anti")
+    both = split.where(F.col("group_size").isNotNull()).unionByName(rest.join(rest.groupBy(digest).agg(*totals), digest))
+    return both.withColumn("keep_id", F.col("__top.id")).withColumn("keep_row", -F.col("__top.back")).drop("__top")
+
+
+def _digest(text_col: str) -> Column:
+    return F.unhex(F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256))
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns ``id``, ``digest`` (binary SHA-256 of the normalised text), ``n`` (repeats of the row)."""
-    text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.select(F.col(id_col).alias("id"), F.unhex(F.sha2(text, 256)).alias("digest")).groupBy("id", "digest").agg(F.count("*").alias("n"))
+    """Columns ``id``, ``digest`` (binary SHA-256 of the normalised text), ``row`` (unique once staged)."""
+    return docs.select(F.col(id_col).alias("id"), _digest(text_col).alias("digest"), F.monotonically_increasing_id().alias("row"))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tracked: int = TRACKED, winners: int = WINNERS) -> DataFrame:
     """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256."""
-    found = resolve(staged(digests(docs, id_col, text_col), "digests"), "digest", "id", "n", tracked, winners)
-    each = found.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("nth"))
-    return each.select(
-        F.col("id").alias(id_col),
-        "keep_id",
-        "group_size",
-        ((F.col("nth") == 1) & F.col("id").eqNullSafe(F.col("keep_id"))).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"),
-    )
+    found = resolve(staged(digests(docs, id_col, text_col), "digests"), "digest", "id", "row", tracked, winners)
+    return found.select(F.col("id").alias(id_col), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    found = resolve(staged(digests(docs, id_col, text_col), "digests"), "digest", "id", "n")
-    wins = found.where(F.col("id").eqNullSafe(F.col("keep_id"))).select("id", F.col("digest").alias("key"), "n")
-    return keep_rows(docs, wins, id_col, F.unhex(F.sha2(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), 256)))
+    found = resolve(staged(digests(docs, id_col, text_col), "digests"), "digest", "id", "row").where("row <> keep_row")
+    gone = found.select("id", F.col("digest").alias("key"), F.col("id").eqNullSafe(F.col("keep_id")).alias("once"))
+    return drop_rows(docs, gone, id_col, _digest(text_col))

@@ -10,15 +10,17 @@ distance: a node holds a vantage point and a radius, near fingerprints go to
 one side and far ones to the other. Each fingerprint lives in one shard and
 visits each shard that the triangle inequality leaves open (its distance is
 within ``radius`` of the boundary), so each linked pair meets in the home shard
-of either end: the pairs are exact, whatever the sample. Inside a shard the
-same split goes on, then pairs are compared with XOR and a bit count. A shard
+of either end: the pairs are exact, whatever the sample. Shards that stay large get
+trees of their own, from samples of theirs. Inside a shard the same split goes on, then pairs are compared with XOR and a bit count. A shard
 emits one edge per fingerprint (to the least of its local component), never its
 pairs; the edges' components are then found across shards.
 
 Defined cases: null and blank texts have fingerprint zero and link like any
-other; fewer words than a shingle are one shingle; rows without an id take no
-part in the choice of a component's id (it is null if no row of it has one);
-repeated rows are rows of their own; an empty table gives an empty result;
+other; fewer words than a shingle are one shingle; very long texts are hashed in
+slices; a bit that exactly half the shingles have is unset; rows without an id
+take no part in the choice of a component's id (it is null if no row of it has
+one); repeated rows are rows of their own (``keep_one`` keeps one of them, and of
+several texts under the least id the one with the least hash); an empty table gives an empty result;
 other columns of the input are ignored.
 """
 
@@ -27,18 +29,20 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import keep_rows, small_batches, staged
+from .common import drop_rows, small_batches, small_table, staged
 from .components import connected
 
 WORDS = 3
 SEED = 42
 RADIUS = 2
-#: Distinct fingerprints from which the tree is built, at most; their number bounds what reaches the driver.
+#: Distinct fingerprints from which the tree is built, about; their number bounds what reaches the driver.
 SAMPLE = 65_536
+#: Rows of a shard beyond which it is split again, and fingerprints from which its tree is then built, about.
+MOST, SPLIT = 1_000_000, 128
 #: Distinct fingerprints that live in a shard, about.
 SHARD = 4_096
 #: Sampled fingerprints below which a node is not split.
@@ -172,22 +176,67 @@ def link(points: np.ndarray, home: np.ndarray, radius: int = RADIUS) -> np.ndarr
             a, b = np.nonzero(distance(points[h[i : i + step]][:, None], points[v][None, :]) <= radius)
             found.add(h[i : i + step][a], v[b])
 
-    pairs(np.flatnonzero(home), np.arange(len(points)), 6)
+    pairs(np.flatnonzero(home), np.arange(len(points)), 12)
     return found.root
 
 
-def components(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample: int = SAMPLE) -> DataFrame:
-    """Columns node, root of every fingerprint (column ``fp``, each once) that is not its component's least."""
-    n = distinct.count()
-    depth = max(0, (max(n, 1) - 1) // shard).bit_length()
-    some = [r["fp"] for r in distinct.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(sample).collect()] if depth else []
-    nodes = grow(np.array(some, dtype=np.int64).view(np.uint64), depth)
+def _sampled(dealt: DataFrame, sizes: dict[int, int], each: int) -> dict[int, np.ndarray]:
+    """About ``each`` home fingerprints of every shard in ``sizes``, chosen by hash."""
+    known = small_table(dealt.sparkSession, [(s, min(1.0, each / n)) for s, n in sizes.items()], "shard long, rate double")
+    part = F.pmod(F.xxhash64("fp"), F.lit(1 << 32)) / float(1 << 32)
+    some = dealt.where("home").join(F.broadcast(known), "shard").where(part < F.col("rate")).select("shard", "fp").toArrow()
+    at, points = some.column(0).to_numpy(), some.column(1).to_numpy().view(np.uint64)
+    order = np.lexsort((points, at))
+    at, points = at[order], points[order]
+    return {s: points[np.searchsorted(at, s) : np.searchsorted(at, s, "right")] for s in sizes}
+
 
-    def deal(batches):
+def _deal(dealt: DataFrame, trees: dict[int, list], radius: int) -> DataFrame:
+    """Rows (shard, fp, home) after the shards that have a tree are split by it."""
+
+    def run(batches):
         for batch in batches:
-            points = batch["fp"].to_numpy(np.int64)
-            at, index, home = route(nodes, points.view(np.uint64), radius)
-            yield pd.DataFrame({"shard": at.astype(np.int32), "fp": points[index], "home": home})
+            at, points, own = batch["shard"].to_numpy(np.int64), batch["fp"].to_numpy(np.int64), batch["home"].to_numpy(bool)
+            for s in np.unique(at):
+                here = np.flatnonzero(at == s)
+                if s in trees:
+                    child, index, home = route(trees[s], points[here].view(np.uint64), radius)
+                    # a child's number is mixed from its parent's; should two be equal, one task does the work of both
+                    mixed = (child.astype(np.int64) + 1) * 0x9E3779B97F4A7C1 ^ np.int64(int(s) * 31 & 0x7FFFFFFFFFFFFFFF)
+                    yield pd.DataFrame({"shard": mixed, "fp": points[here][index], "home": home & own[here][index]})
+                else:
+                    yield pd.DataFrame({"shard": at[here], "fp": points[here], "home": own[here]})
+
+    return dealt.mapInPandas(run, "shard long, fp long, home boolean")
+
+
+def shards(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample: int = SAMPLE, most: int = MOST) -> DataFrame:
+    """Rows (shard, fp, home): every fingerprint in its home shard and in each that it must visit.
+
+    Shards of more than ``most`` rows are split again by trees of their own,
+    until none is that large or vantage points do not tell its points apart.
+    """
+    n = distinct.count()
+    depth = max(0, (max(n, 1) - 1) // shard).bit_length()
+    dealt = distinct.select(F.lit(0).cast("long").alias("shard"), "fp", F.lit(True).alias("home"))
+    if depth:
+        dealt = _deal(dealt, {0: grow(_sampled(dealt, {0: n}, sample)[0], depth)}, radius)
+    whole: set[int] = set()
+    while n > most:  # else no shard can be larger
+        dealt = staged(dealt, "dealt")
+        sizes = dealt.groupBy("shard").agg(F.count("*").alias("n"), F.count_if("home").alias("own")).where(F.col("n") > most)
+        large = {r["shard"]: r["own"] for r in sizes.collect() if r["own"] and r["shard"] not in whole}
+        trees = {s: grow(points, SPLIT.bit_length(), LEAST) for s, points in _sampled(dealt, large, SPLIT).items()} if large else {}
+        whole |= {s for s, nodes in trees.items() if not nodes}
+        trees = {s: nodes for s, nodes in trees.items() if nodes}
+        if not trees:
+            break
+        dealt = _deal(dealt, trees, radius)
+    return dealt
+
+
+def components(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD, sample: int = SAMPLE, most: int = MOST) -> DataFrame:
+    """Columns node, root of every fingerprint (column ``fp``, each once) that is not its component's least."""
 
     def local(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("fp")
@@ -196,8 +245,7 @@ def components(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD, sa
         moved = root != np.arange(len(root))
         return pd.DataFrame({"a": points[moved], "b": points[root[moved]]})
 
-    dealt = distinct.select("fp").mapInPandas(deal, "shard int, fp long, home boolean")
-    return connected(dealt.groupBy("shard").applyInPandas(local, "a long, b long"))
+    return connected(shards(distinct, radius, shard, sample, most).groupBy("shard").applyInPandas(local, "a long, b long"))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -219,7 +267,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the least id. Columns unchanged."""
-    found = near_dedup(docs, id_col, text_col)
-    per = found.groupBy("root", F.col(id_col).alias("id"), "key").agg(F.count("*").alias("n"))
-    wins = per.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "n")).alias("w")).select("w.id", "w.key", "w.n")
-    return keep_rows(docs, wins, id_col, F.xxhash64(text_col))
+    found = near_dedup(docs, id_col, text_col).withColumnRenamed(id_col, "id")
+    first = F.col("id").eqNullSafe(F.col("component_id"))
+    # rows that have the least id: one, but where ids repeat
+    heads = found.where(first).groupBy("root", "id", "key").agg(F.count("*").alias("n")).withColumn("least", F.min("key").over(Window.partitionBy("root")))
+    gone = found.where(~first).select("id", "key", F.lit(False).alias("once"))
+    more = heads.where("key <> least OR n > 1").select("id", "key", (F.col("key") == F.col("least")).alias("once"))
+    return drop_rows(docs, gone.unionByName(more), id_col, F.xxhash64(text_col))
