@@ -2,7 +2,13 @@
 
 Every function takes (spark, docs, sf_dir) and returns a DataFrame; all but the
 last return the columns of ``documents``. ``run`` writes each stage's rows as
-Parquet in the shared folder and rereads them as the next stage's input.
+Parquet in the shared folder, rereads them as the next stage's input, and deletes
+what a stage no longer needs.
+
+Defined cases: null and letterless texts go in the first stage; null ids are
+documents of their own; repeated rows count as copies; ties are broken as the
+stages' operators say; very long texts are kept whole and cut only by packing; an
+empty table gives an empty result; other columns ride along to the last stage.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewire.llm import exact_dedup, language_id, simhash, source_mix
-from tidewire.llm.common import staged, table
+from tidewire.llm.common import discard, scratch, staged, table
 from tidewire.llm.packing import pack
 
 
@@ -46,7 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark) as keep:
+            docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            keep.append(docs)
+        if last is not None:
+            discard(last)  # the stage's input
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
