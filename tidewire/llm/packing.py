@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, staged
+from .common import small_batches, small_table, staged
 
 CAPACITY = 1024
 #: Id that ends each document.
@@ -75,11 +75,18 @@ def encoder(path: str):
     import json
 
     import tiktoken
-    from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    library: list = []
+
+    def slow(text: str) -> list[int]:
+        if not library:  # seldom needed, and large
+            from tokenizers import Tokenizer
+
+            library.append(Tokenizer.from_file(path))
+        return library[0].encode(text, add_special_tokens=False).ids
+
     special = [t["content"] for t in spec.get("added_tokens", [])]
     # the byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -87,11 +94,13 @@ def encoder(path: str):
     byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
     ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
     pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    if spec.get("normalizer") or spec["model"]["type"] != "BPE" or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or spec["pre_tokenizer"].get("add_prefix_space") or not spec["pre_tokenizer"].get("use_regex", True):
+        return _loaded.setdefault(path, slow)  # not the kind of file that the pattern is for
     fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> list[int]:
         odd = any(s in text for s in special) or len(text) > LONG_WORD and max(map(len, text.split()), default=0) > LONG_WORD
-        return slow.encode(text, add_special_tokens=False).ids if odd else fast.encode_ordinary(text)
+        return slow(text) if odd else fast.encode_ordinary(text)
 
     _loaded[path] = encode
     return encode
@@ -288,7 +297,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     short = cuts.where(F.col("first") < capacity)
     counts = {r["first"]: r["n"] for r in short.groupBy("first").agg(F.count("*").alias("n")).collect()}  # fewer than capacity rows
     rows, _ = plan(counts, capacity, k)
-    runs = spark.createDataFrame(rows, "first int, lo long, hi long, bin long, at int")
+    runs = small_table(spark, rows, "first int, lo long, hi long, bin long, at int")
     salts = max(1, sum(counts.values()) // BUCKET)
     salted = short.select("row", "first", F.pmod(F.xxhash64("row"), F.lit(salts)).alias("salt"))
     per = salted.groupBy("first", "salt").agg(F.count("*").alias("n"))
