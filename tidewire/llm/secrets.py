@@ -6,14 +6,15 @@ branches needs, a repeat what its body needs when it occurs at least once.
 Short literal sets are carried exactly, so trigrams that span the parts of a
 pattern count too. Each batch of documents is one shard of an inverted index
 over the trigrams that any rule asks for (posting list: the positions of the
-texts that hold it); a rule's query is answered by intersecting and uniting
+texts that hold it), built in one pass over the texts' trigrams; a rule's query is answered by intersecting and uniting
 postings, and only candidate texts meet its regular expression. A rule whose
 query is empty (no mandatory trigram) scans every text. Index, queries and texts
 use ASCII lower case, so a case-sensitive rule may get more candidates, never
 fewer. Shards need no shuffle, and no text leaves its task.
 
-Defined cases: null text is empty and has no span; repeated rows and null ids
-are rows of their own; an empty table gives an empty result; other columns of
+Defined cases: null text is empty and has no span; very long texts are indexed in
+chunks and searched whole; spans that start together are in the order of the
+rules; repeated rows and null ids are rows of their own; an empty table gives an empty result; other columns of
 the input are ignored.
 """
 
@@ -22,9 +23,10 @@ from __future__ import annotations
 import hashlib
 import re
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cache, cached_property
 from itertools import product
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +42,8 @@ except ImportError:  # older interpreters
 
 #: Strings that a literal set may hold before it is turned into a query.
 MOST_EXACT = 64
+#: Bytes of texts that are turned into trigrams at once.
+CHUNK = 1 << 20
 #: Members that a character class may have and still count as literals.
 MOST_CLASS = 8
 
@@ -175,13 +179,47 @@ def trigrams(query: tuple) -> set[str]:
     return {query[1]} if query[0] == "tri" else set().union(*map(trigrams, query[1])) if len(query) > 1 else set()
 
 
+@cache
+def _lookup(vocabulary: tuple[str, ...]) -> np.ndarray:
+    """For each three bytes the number, from 1 on, of the trigram that they are."""
+    table = np.zeros(1 << 24, np.uint16)
+    for i, tri in enumerate(vocabulary):
+        a, b, c = tri.encode()
+        table[a << 16 | b << 8 | c] = i + 1
+    return table
+
+
 class TrigramIndex:
-    """An inverted index over one batch of texts, restricted to ``vocabulary``."""
+    """An inverted index over one batch of texts, restricted to ``vocabulary``; ``searched`` counts the texts that ``find`` named, of ``asked``."""
 
     def __init__(self, texts: list[str], vocabulary: set[str]):
-        self.n = len(texts)
-        lower = [t.lower() if t.isascii() else t.translate(_FOLD) for t in texts]
-        self.postings = {tri: {i for i, t in enumerate(lower) if tri in t} for tri in vocabulary}
+        self.n, self.searched, self.asked = len(texts), 0, 0
+        self.postings: dict[str, set[int]] = {tri: set() for tri in vocabulary}
+        plain = tuple(sorted(t for t in vocabulary if t.isascii() and "\0" not in t))
+        blobs = [t.encode("utf-8", "surrogatepass").lower() for t in texts]  # bytes: A-Z only
+        for tri in vocabulary.difference(plain):  # of several bytes a character: searched for
+            key = tri.encode("utf-8", "surrogatepass")
+            self.postings[tri] = {i for i, b in enumerate(blobs) if key in b}
+        if not plain:
+            return
+        # one pass over all the texts' trigrams; zero bytes part the texts, and no trigram has one
+        data = np.frombuffer(b"\0\0".join([*blobs, b""]), np.uint8)
+        starts = np.cumsum([0, *[len(b) + 2 for b in blobs]])
+        table = _lookup(plain)
+        for at in range(0, len(data) - 2, CHUNK):
+            part = data[at : at + CHUNK + 2].astype(np.uint32)
+            number = table[part[:-2] << 16 | part[1:-1] << 8 | part[2:]]
+            where = np.flatnonzero(number)
+            text = np.searchsorted(starts, where + at, "right") - 1
+            for pair in np.unique(text * (len(plain) + 1) + number[where]).tolist():
+                i, k = divmod(pair, len(plain) + 1)
+                self.postings[plain[k - 1]].add(i)
+
+    def candidates(self, query: tuple) -> set[int] | range:
+        """``find``, counted."""
+        found = self.find(query)
+        self.searched, self.asked = self.searched + len(found), self.asked + self.n
+        return found
 
     def find(self, query: tuple) -> set[int] | range:
         """Positions of the texts that satisfy the query; all of them for the empty one."""
@@ -193,16 +231,13 @@ class TrigramIndex:
         return parts[0].intersection(*parts[1:]) if query[0] == "and" else set().union(*parts)
 
 
-_FOLD = {c: c + 32 for c in range(65, 91)}
-
-
-def scan_texts(texts: list[str], rules: tuple[Rule, ...]) -> list[list[tuple[str, int, int]]]:
+def scan_texts(texts: list[str], rules: tuple[Rule, ...], index: TrigramIndex | None = None) -> list[list[tuple[str, int, int]]]:
     """For each text its spans (rule, start, end) by start, then in the order of the rules."""
     queries = [query_of(r) for r in rules]
-    index = TrigramIndex(texts, set().union(*map(trigrams, queries)))
+    index = index or TrigramIndex(texts, set().union(*map(trigrams, queries)))
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for k, (rule, query) in enumerate(zip(rules, queries, strict=True)):
-        for i in index.find(query):
+        for i in index.candidates(query):
             found[i] += [(a, k, b) for a, b in rule.spans(texts[i])]
     return [[(rules[k].name, a, b) for a, k, b in sorted(x)] for x in found]
 
