@@ -66,6 +66,26 @@ def test_pending_queries_cross_files(spark):
     assert {r["seq"] for r in pending.collect()} == left
 
 
+@pytest.mark.parametrize(("n", "seed", "timeout"), [(12, 1, 600), (30, 2, 0), (30, 3, 2500), (500, 4, 900)])
+def test_many_files_in_one_plan(spark, n, seed, timeout):
+    """Against the dictionary; some files have no messages, and an earlier run left queries."""
+    names = [f"f{i:03d}" for i in range(n)]
+    data = [(*e[:8], names[min(n - 1, i * n // 900 + (i % 2 if i % 7 == 0 else 0))]) for i, e in enumerate(events(900, ["x"], seed))]
+    data.sort(key=lambda e: (e[8], e[0]))
+    if seed % 2:  # one run, with zone transfers, which are followed over the run
+        joined, rest = match_files(spark.createDataFrame(data, SCHEMA), "file", names, timeout)
+        got = rows(joined)
+    else:
+        data, cut = [(*e[:5], 1, *e[6:]) for e in data], names[n // 3]
+        early, late = [e for e in data if e[8] < cut], [e for e in data if e[8] >= cut]
+        one, left = match_files(spark.createDataFrame(early, SCHEMA), "file", [x for x in names if x < cut], timeout)
+        two, rest = match_files(spark.createDataFrame(late, SCHEMA), "file", [x for x in names if x >= cut], timeout, left)
+        got = rows(one) + rows(two)
+    want, stays = simulate(data, names, timeout)
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {r["seq"] for r in rest.collect()} == stays
+
+
 def test_sequences(spark):
     def run(*steps, timeout=2000):
         data = [(i, t, qr, 1, name, 1, "c", 5, "f") for i, (qr, name, t) in enumerate(steps)]
