@@ -7,7 +7,7 @@ import conftest
 import duckdb
 import pytest
 
-from tidewire.plans import catalogue
+from tidewire.plans import catalogue, stored
 
 SF = f"{conftest.DATA}/sf0.001"
 
@@ -25,12 +25,15 @@ def plain(v):
     return f"{v:.9g}" if isinstance(v, float) and not math.isnan(v) else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.queries()))
+QUERIES, SQL = catalogue.queries() | stored.queries(), catalogue.oracle_sql() | stored.oracle_sql()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = catalogue.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     order = sorted(df.columns)
     got = sorted(tuple(plain(r[c]) for c in order) for r in df.collect())
-    found = duck.sql(catalogue.oracle_sql()[name])
+    found = duck.sql(SQL[name])
     assert sorted(found.columns) == order
     at = [found.columns.index(c) for c in order]
     assert got == sorted(tuple(plain(r[i]) for i in at) for r in found.fetchall())
@@ -40,4 +43,9 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
-    assert set(catalogue.queries()) <= set(__spark_entry__.queries())
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+
+
+def test_stored_table_is_pruned(spark):
+    plan = QUERIES["partition_prune"](spark, SF)._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "(server#" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]

@@ -3,7 +3,7 @@
 import time
 from datetime import datetime
 
-import capture as c
+from tidewire.sources import capture as c
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,7 +65,7 @@ def test_ingest(result):
 def test_ledger_and_newest(spark, tmp_path):
     captures(tmp_path)
     ledger = spark.createDataFrame([("a-1.pcap", "default")], "file string, server string")
-    assert ingest.choose(spark, str(tmp_path), ledger, ingest.Settings(skip_newest=True)) == ["a-2.pcap"]
+    assert ingest.choose(spark, str(tmp_path), ledger, ingest.Settings(skip_newest=True)).keys() == {"a-2.pcap"}
 
 
 def test_record(spark, result, tmp_path):
@@ -308,3 +308,63 @@ def test_engine():
     engine.run_once()
     assert n > 1 and engine.status()["enabled"] is False
     engine.close()
+
+
+def test_known_files_are_not_opened(spark, tmp_path, monkeypatch):
+    captures(tmp_path)
+    asked, read = [], pcap.read
+    monkeypatch.setattr(pcap, "read", lambda spark, paths, *a: asked.extend(paths) or read(spark, paths, *a))
+    ledger = spark.createDataFrame([("a-1.pcap", "default"), ("broken.pcap", "default")], "file string, server string")
+    out = ingest.ingest(spark, str(tmp_path), ingest.Settings(), ledger)
+    assert out.files == ["a-2.pcap"] == [p.rsplit("/", 1)[-1] for p in asked] and out.packets.count() == 3
+
+
+def test_damaged_archives_give_rejects(tmp_path):
+    import gzip
+    import io
+
+    data = gzip.compress(c.pcap([c.query(NOON + i, i) for i in range(40)]), mtime=0)
+    for at in range(len(data)):
+        broken = bytearray(data)
+        broken[at] ^= 0x55
+        rows = list(pcap.rows_of("x.pcap.gz", io.BytesIO(bytes(broken)), None, None))
+        assert all(r["error"] is None for r in rows[:-1])
+
+
+def test_an_interrupted_swap_is_finished(spark, result, tmp_path, monkeypatch):
+    root = str(tmp_path / "lake")
+    place = ingest.store(result, root)[0].collect()[0]["path"]
+    ingest.store(result, root)
+    folder, delete = f"{root}/dns/{place}", Storage.delete
+    calls = []
+
+    def fail(self, path, recursive=False):
+        calls.append(path)
+        if len(calls) == 2 and not recursive:
+            raise OSError("gone")
+        return delete(self, path, recursive)
+
+    monkeypatch.setattr(Storage, "delete", fail)
+    with pytest.raises(OSError):
+        maintenance.compact(spark, f"{root}/dns", "dns", place)
+    monkeypatch.undo()
+    table = lambda: maintenance.read_table(spark, f"{root}/dns", "dns")
+    assert table().count() < 6  # never twice
+    assert maintenance.finish(spark, folder) and not maintenance.finish(spark, folder)
+    assert table().count() == 6 and table().where("query_ts IS NULL").count() == 0
+
+
+def test_archive_that_fails_says_so(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Storage, "move", lambda *a: False)
+    with pytest.raises(OSError):
+        maintenance.archive(spark, str(tmp_path / "x"), maintenance.ARCHIVE, str(tmp_path / "old"))
+
+
+def test_range_columns(spark):
+    from tidewire.functions.ip import cidr_bounds, cidr_columns
+
+    given = ["10.1.2.3/9", "0.0.0.0/0", "192.0.2.77/31", "192.0.2.9", "2001:db8::5/33", "::/0", "2001:db8::1", "fe80::1/127", " 10.0.0.0/8 "]
+    rows = spark.createDataFrame([(x,) for x in [*given, "no", "1.2.3.4/99", None]], "n string")
+    got = [tuple(r) for r in rows.select(*cidr_columns(F.col("n"))).collect()]
+    assert got[: len(given)] == [cidr_bounds(x) for x in given] and got[len(given)] == (None, None, None)
+    assert all(g[0] is None for g in got[len(given) :])

@@ -79,6 +79,26 @@ def cidr_bounds(cidr: str) -> tuple[str, str, int]:
     return key_of(str(net[0])), key_of(str(net[-1])), net.prefixlen + (96 if net.version == 4 else 0)
 
 
+def cidr_columns(network: Column) -> tuple[Column, Column, Column]:
+    """``cidr_bounds`` for a column: first key, last key, prefix length; all null where the text is no prefix."""
+    address = F.substring_index(F.trim(network), "/", 1)
+    key = ip_key(address)
+    given = F.when(F.contains(network, F.lit("/")), F.substring_index(F.trim(network), "/", -1).try_cast("int"))
+    bits = F.when(key.isNotNull(), F.when(is_ipv4(address), F.coalesce(given, F.lit(32)) + 96).otherwise(F.coalesce(given, F.lit(128))))
+    bits = F.when(bits.between(0, 128), bits)
+
+    def bound(p: Column, fill: str) -> Column:
+        whole, part = F.floor(p["n"] / 4).cast("int"), p["n"] % 4
+        digit = F.conv(F.substr(p["k"], whole + 1, F.lit(1)), 16, 10).cast("int")
+        step = F.pow(F.lit(2), 4 - part).cast("int")
+        least = digit - digit % step
+        own = F.when(part > 0, F.lower(F.hex((least if fill == "0" else least + step - 1).cast("long")))).otherwise("")
+        return F.rpad(F.concat(F.substr(p["k"], F.lit(1), whole), own), 32, fill)
+
+    pair = F.struct(key.alias("k"), bits.alias("n"))
+    return _let(pair, lambda p: bound(p, "0")), _let(pair, lambda p: bound(p, "f")), bits
+
+
 def in_cidr(address: Column, cidr: str) -> Column:
     lo, hi, _ = cidr_bounds(cidr)
     return ip_key(address).between(lo, hi)

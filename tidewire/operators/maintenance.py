@@ -18,6 +18,8 @@ from tidewire.sources.storage import Storage
 FILE_BYTES = 128 << 20
 # What happens to an input file once it is processed.
 NONE, ARCHIVE, DELETE = "NONE", "ARCHIVE", "DELETE"
+#: Names that readers skip: of files that wait to be shown, and of a swap's journal.
+HIDDEN, JOURNAL = "_new-", "_swap"
 #: Compaction and purge never run at once.
 _busy = threading.Lock()
 
@@ -37,32 +39,48 @@ def read_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(table_schema(table)).parquet(path)
 
 
+def finish(spark: SparkSession, folder: str) -> bool:
+    """Complete a swap that has its journal: delete the old files, show the new ones. True if there was one."""
+    store, journal = Storage(spark), append_path(folder, JOURNAL)
+    if not store.exists(journal):
+        return False
+    names = store.open(journal).decode().split("\n")
+    for name in (n for n in names if not n.startswith(HIDDEN)):
+        store.delete(append_path(folder, name))
+    for name in (n for n in names if n.startswith(HIDDEN)):
+        place = append_path(folder, name)
+        if store.exists(place) and not store.move(place, append_path(folder, name.removeprefix(HIDDEN))):
+            raise OSError(f"cannot move {place}")
+    store.delete(journal)
+    return True
+
+
 def _swap(spark: SparkSession, root: str, place: str, rows: DataFrame, day: str, server: str) -> int:
     """Replace the files of one partition by ``rows``, which was read from them; returns the number of new files.
 
-    The new files are written aside in full, moved in under new names, and only
-    then are the old ones deleted; if a move fails, the moved ones are deleted.
+    The new files are written aside in full and moved in under names that readers
+    skip. A journal then names them and the old ones; from there on ``finish``
+    completes the swap, whoever was interrupted. No reader sees a row twice.
     """
     store, folder = Storage(spark), append_path(root, place)
     aside = append_path(root, f"_tmp/{uuid.uuid4().hex}")
     old = store.files(folder)
     n = max(1, -(-store.size(folder) // FILE_BYTES))
+    moved: list[str] = []
     try:
         rows.coalesce(n).write.option("compression", "snappy").parquet(aside)  # no shuffle: one partition's files, merged
-        moved: list[str] = []
-        try:
-            for f in store.files(aside, (".parquet",)):
-                target = append_path(folder, compacted_name(day, server, uuid.uuid4().hex))
-                moved.append(target)
-                if not store.move(f, target):
-                    raise OSError(f"cannot move {f}")
-        except Exception:
-            for f in moved:
-                store.delete(f)
-            raise
-        for f in old:
-            store.delete(f)
+        for f in store.files(aside, (".parquet",)):
+            moved.append(HIDDEN + compacted_name(day, server, uuid.uuid4().hex))
+            if not store.move(f, append_path(folder, moved[-1])):
+                raise OSError(f"cannot move {f}")
+        store.write(append_path(folder, JOURNAL), "\n".join([*moved, *[f.rsplit("/", 1)[-1] for f in old]]))
+        finish(spark, folder)
         return len(moved)
+    except Exception:
+        if not store.exists(append_path(folder, JOURNAL)):
+            for f in moved:
+                store.delete(append_path(folder, f))
+        raise
     finally:
         store.delete(aside, recursive=True)
 
@@ -81,12 +99,14 @@ def _parts(place: str) -> tuple[str, str]:
 def compact(spark: SparkSession, root: str, table: str, place: str) -> int:
     """Merge a partition's files and fill ``query_ts``; returns the number of files."""
     with _busy:
+        finish(spark, append_path(root, place))
         return _swap(spark, root, place, compacted(_one(spark, root, table, place)), *_parts(place))
 
 
 def purge(spark: SparkSession, root: str, table: str, place: str) -> int:
     """Remove personal data from a partition; returns the number of files."""
     with _busy:
+        finish(spark, append_path(root, place))
         return _swap(spark, root, place, purged(_one(spark, root, table, place), table), *_parts(place))
 
 
@@ -107,7 +127,8 @@ def archive(spark: SparkSession, file: str, mode: str, folder: str | None = None
     store = Storage(spark)
     if mode == ARCHIVE:
         target = append_path(folder, file.rsplit("/", 1)[-1])
-        store.move(file, target)
+        if not store.move(file, target):
+            raise OSError(f"cannot move {file}")
         return target
     if mode == DELETE:
         store.delete(file)

@@ -498,11 +498,6 @@ def purge_projection(spark, sf):
     return left.select("time", "qname", F.lit("src" in left.columns).alias("has_src"), F.lit("edns_client_subnet" in left.columns).alias("has_subnet"))
 
 
-@query(_DNS_SQL + ", x AS (SELECT make_timestamp(coalesce(q.time, r.time) * 1000) AS ts, concat('ns', coalesce(q.u, r.u) % 3, '_ams') AS server FROM t) SELECT count(*) AS n FROM x WHERE year(ts) = 2024 AND month(ts) = 1 AND day(ts) = 5 AND server = 'ns1_ams'")
-def partition_prune(spark, sf):
-    return _stored(spark, sf).where("year = 2024 AND month = 1 AND day = 5 AND server = 'ns1_ams'").agg(F.count("*").alias("n"))
-
-
 # --- files and control tables ---
 
 _FILES_SQL = "(SELECT DISTINCT concat('cap-', strftime(ts, '%Y-%m-%d'), '.pcap', CASE day(ts) % 3 WHEN 0 THEN '.gz' WHEN 1 THEN '.xz' ELSE '' END) AS file, 'default' AS server, CAST(day(ts) AS INTEGER) AS day FROM events)"
@@ -587,18 +582,9 @@ def partition_ping(spark, sf):
     return control.ping(known, known.where("id % 5 = 0"), _now()).select("path", F.unix_millis("updated_ts").alias("updated"))
 
 
-@query("SELECT sum(CASE WHEN o_custkey % 10 = 0 THEN 1 ELSE 0 END) AS marked, sum(CASE WHEN o_custkey % 10 = 0 THEN 90 ELSE 0 END) AS seconds FROM (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey <= 100)")
-def partition_mark(spark, sf):
-    known = _partitions(spark, sf).where("id <= 100")
-    start = F.lit("2024-01-20 12:28:30").cast("timestamp")
-    out = control.mark(known, list(range(0, 101, 10)), "compaction", start, _now(), False)
-    hit = F.col("compaction_ok") == F.lit(False)
-    return out.agg(F.count_if(hit).cast("decimal(38,0)").alias("marked"), F.sum(F.when(hit, F.col("compaction_time")).otherwise(0)).cast("decimal(38,0)").alias("seconds"))
-
-
 @query("SELECT sum(CASE WHEN o_custkey % 10 = 0 THEN 1 ELSE 0 END) AS marked, sum(CASE WHEN o_custkey % 10 = 0 THEN 90 ELSE 0 END) AS seconds FROM (SELECT DISTINCT o_custkey FROM orders)")
-def partition_mark_all(spark, sf):
-    """``partition_mark`` over the whole table, by ids taken from it."""
+def partition_mark(spark, sf):
+    """Marking by ids taken from the table."""
     known = _partitions(spark, sf)
     start = F.lit("2024-01-20 12:28:30").cast("timestamp")
     out = control.mark(known, known.where("id % 10 = 0").select("id"), "compaction", start, _now(), False)

@@ -35,6 +35,12 @@ def add_partition(spark: SparkSession, table: str, values: dict, location: str)
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({_spec(values)}) LOCATION {_text(location)}")
 
 
+def add_partitions(spark: SparkSession, table: str, places: list[tuple[dict, str]]) -> None:
+    """Add several partitions, each with its values and location, in one statement."""
+    if places:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({_spec(v)}) LOCATION {_text(at)}" for v, at in places))
+
+
 def refresh(spark: SparkSession, table: str) -> None:
     spark.sql(f"REFRESH TABLE {table}")
 

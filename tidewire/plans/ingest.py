@@ -45,14 +45,14 @@ class Result:
     packets: DataFrame
 
 
-def choose(spark: SparkSession, folder: str, ledger: DataFrame | None, settings: Settings) -> list[str]:
-    """Names of the files to read, in order: new ones, without the newest if it may still be written."""
+def choose(spark: SparkSession, folder: str, ledger: DataFrame | None, settings: Settings) -> dict[str, str]:
+    """Names and paths of the files to read, in order: new ones, without the newest if it may still be written."""
     found = inputs.discover(spark, folder).withColumn("server", F.lit(settings.server))
     if settings.skip_newest:
         found = inputs.skip_newest(found)
     if ledger is not None:
         found = inputs.unprocessed(found, ledger)
-    return [r["file"] for r in found.select("file").orderBy("file").collect()]
+    return {r["file"]: r["path"] for r in found.select("file", "path").orderBy("file").collect()}
 
 
 def ingest(spark: SparkSession, folder: str, settings: Settings | None = None, ledger: DataFrame | None = None, pending: DataFrame | None = None) -> Result | None:
@@ -61,10 +61,11 @@ def ingest(spark: SparkSession, folder: str, settings: Settings | None = None, l
     ``pending`` has the queries that an earlier run left, as stored from its result.
     """
     s = settings or Settings()
-    names = choose(spark, folder, ledger, s)
-    if not names:
+    chosen = choose(spark, folder, ledger, s)
+    if not chosen:
         return None
-    packets = pcap.read(spark, folder, s.server, s.tcp).where(F.col("pcap_file").isin(names)).persist(StorageLevel.MEMORY_AND_DISK)
+    names = list(chosen)
+    packets = pcap.read(spark, list(chosen.values()), s.server, s.tcp).persist(StorageLevel.MEMORY_AND_DISK)  # other files are not opened
     good = packets.where(F.col("error").isNull())
     dns, icmp, rejected = split(good, s.icmp, s.tcp)
     # order over files: name, then packet, then message

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import bz2
+import gzip
+import lzma
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions.ip import MAPPED, ip_key
 from tidewire.functions.times import epoch_ms
+from tidewire.sources import capture
 
 
 def _div(a: str, b: int) -> Column:
@@ -69,9 +75,9 @@ def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Networks: 10.(s % 4).(s % 50).0/24 per supplier up to 200; the least name wins where they share one."""
+    """Networks: 10.(s % 4).(s % 50).0/24 per supplier; the least name wins where they share one."""
     s = F.col("s_suppkey")
-    sup = spark.read.parquet(f"{sf_dir}/supplier.parquet").where(s < 200)
+    sup = spark.read.parquet(f"{sf_dir}/supplier.parquet")
     start = F.lit(10 << 24) + s % 4 * 65536 + s % 50 * 256
     per = sup.groupBy(start.alias("a")).agg(F.min("s_suppkey").alias("s"))
     return per.select(
@@ -81,10 +87,11 @@ def asn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resolvers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four providers with overlapping prefixes 10.p.0.0/(15 + p) made from regions."""
+    """A provider per region, with overlapping ranges from 10.p.0.0 on; the first four have names."""
     p = F.col("r_regionkey").cast("long")
-    reg = spark.read.parquet(f"{sf_dir}/region.parquet").where("r_regionkey < 4")
-    names = F.element_at(F.array(*[F.lit(x) for x in ("CloudFlare", "Google", "OpenDNS", "Quad9")]), (p + 1).cast("int"))
+    reg = spark.read.parquet(f"{sf_dir}/region.parquet")
+    named = F.try_element_at(F.array(*[F.lit(x) for x in ("CloudFlare", "Google", "OpenDNS", "Quad9")]), (p + 1).cast("int"))
+    names = F.coalesce(named, F.concat(F.lit("Provider "), p))
     rows = reg.select(p.cast("int").alias("priority"), names.alias("name"), (F.lit(10 << 24) + p * 65536).alias("a"), F.when(p == 0, 1023).when(p == 1, 4095).otherwise(196607).alias("w"))
     return rows.select("priority", "name", _key(F.col("a")).alias("lo"), _key(F.col("a") + F.col("w")).alias("hi"), F.lit(112).alias("prefix_len"))
 
@@ -96,11 +103,11 @@ geo AS (
   UNION ALL SELECT 167772160 + n_nationkey % 4 * 65536 + n_nationkey * 256, 167772160 + n_nationkey % 4 * 65536 + n_nationkey * 256 + 255, 120, n_name FROM nation),
 net AS (
   SELECT lo, lo + 255 AS hi, concat('AS', s) AS asn, concat('Org ', s) AS asn_organisation
-  FROM (SELECT 167772160 + s_suppkey % 4 * 65536 + s_suppkey % 50 * 256 AS lo, min(s_suppkey) AS s FROM supplier WHERE s_suppkey < 200 GROUP BY 1)),
+  FROM (SELECT 167772160 + s_suppkey % 4 * 65536 + s_suppkey % 50 * 256 AS lo, min(s_suppkey) AS s FROM supplier GROUP BY 1)),
 res AS (
-  SELECT r_regionkey AS priority, CASE r_regionkey WHEN 0 THEN 'CloudFlare' WHEN 1 THEN 'Google' WHEN 2 THEN 'OpenDNS' ELSE 'Quad9' END AS name,
+  SELECT r_regionkey AS priority, CASE r_regionkey WHEN 0 THEN 'CloudFlare' WHEN 1 THEN 'Google' WHEN 2 THEN 'OpenDNS' WHEN 3 THEN 'Quad9' ELSE concat('Provider ', r_regionkey) END AS name,
          167772160 + r_regionkey * 65536 AS lo, 167772160 + r_regionkey * 65536 + CASE r_regionkey WHEN 0 THEN 1023 WHEN 1 THEN 4095 ELSE 196607 END AS hi
-  FROM region WHERE r_regionkey < 4),
+  FROM region),
 ad AS (SELECT client, min(167772160 + u % 4 * 65536 + (u // 4) % 256 * 256 + u % 3) AS ip FROM m GROUP BY client),
 info AS (
   SELECT client, ip,
@@ -148,4 +155,41 @@ def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-__all__ = ["GEO_SQL", "MESSAGES_SQL", "asn", "geo", "ip_key", "messages", "packets", "resolvers"]
+SUFFIXES = ("", ".gz", ".xz", ".bz2")
+SERVER = "192.0.2.53"
+
+
+def _packet(row: dict, seqs: dict) -> bytes:
+    """A UDP message, a TCP segment of two messages, or, without a name, an ICMP error that quotes a query."""
+    ends = (row["client"], SERVER) if row["qr"] == 0 else (SERVER, row["client"])
+    ports = (row["port"], 53) if row["qr"] == 0 else (53, row["port"])
+    if row["qname"] is None:
+        quoted = capture.ip(capture.udp(capture.dns(row["id"], qname=f"q{row['k'] % 4}.example.com.", qtype=row["qtype"]), row["port"]), 17, row["client"], SERVER)
+        return capture.ip(bytes([3, 3]) + bytes(6) + quoted, 1, SERVER, row["client"])
+    told = [capture.dns(row["id"] + 16 * i, row["qr"] == 1, row["qname"], row["qtype"], row["rcode"]) for i in (0, 1)]
+    if row["prot"] == 17:
+        return capture.ip(capture.udp(told[0], *ports), 17, *ends)
+    flow, data = (*ends, *ports), capture.framed(*told)
+    seqs[flow] = seqs.get(flow, 1000) + len(data)
+    return capture.ip(capture.tcp(data, seqs[flow] - len(data), *ports), 6, *ends)
+
+
+def captures(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
+    """Capture files as binaryFile rows (path, content): one a day, plain or compressed by the day; ``damaged``: those of each fifth day are broken."""
+
+    def write(part: pd.DataFrame) -> pd.DataFrame:
+        name, seqs = part["pcap_file"].iloc[0], {}
+        part = part.sort_values("seq").astype(object).where(part.notna(), None)
+        day = int(name[-2:])
+        suffix = SUFFIXES[day % 4]
+        data = capture.pcap([(row["time"], _packet(row, seqs)) for row in part.to_dict("records")])
+        data = {"": bytes, ".gz": lambda x: gzip.compress(x, mtime=0), ".xz": lzma.compress, ".bz2": bz2.compress}[suffix](data)
+        if damaged and day % 5 == 0:
+            data = (data[:20] if suffix else b"") + bytes([7]) * 64
+        return pd.DataFrame({"path": [f"/{name}.pcap{suffix}"], "content": [data]})
+
+    rows = messages(spark, sf_dir).select("pcap_file", "seq", "time", "qr", "id", "client", "port", "qname", "qtype", "rcode", "prot", "k")
+    return rows.groupBy("pcap_file").applyInPandas(write, "path string, content binary")
+
+
+__all__ = ["GEO_SQL", "MESSAGES_SQL", "asn", "captures", "geo", "ip_key", "messages", "packets", "resolvers"]

@@ -1,4 +1,4 @@
-"""A small encoder of captures for tests."""
+"""A small encoder of captures: packets of DNS and ICMP traffic, made from plain values."""
 
 import struct
 from ipaddress import ip_address

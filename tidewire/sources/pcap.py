@@ -14,6 +14,7 @@ import gzip
 import io
 import lzma
 import os
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -50,7 +51,7 @@ def rows_of(name: str, raw, server: str | None, location: str | None, tcp: bool
         for row in decode(opened(name, raw), tcp):
             yield base | row | {"seq": n}
             n += 1
-    except (Malformed, OSError, EOFError, lzma.LZMAError) as e:
+    except (Malformed, OSError, EOFError, lzma.LZMAError, zlib.error) as e:
         yield dict.fromkeys(PACKET_SCHEMA.names) | base | {"seq": n, "error": str(e)}
 
 
@@ -79,7 +80,7 @@ def decode_files(files: DataFrame, server: str = "default", tcp: bool = True) ->
     return packets.withColumn("server_location", parts["location"])
 
 
-def read(spark: SparkSession, path: str, server: str = "default", tcp: bool = True) -> DataFrame:
+def read(spark: SparkSession, path: str | list[str], server: str = "default", tcp: bool = True) -> DataFrame:
     return decode_files(spark.read.format("binaryFile").load(path), server, tcp)
 
 

@@ -7,7 +7,7 @@ from html.parser import HTMLParser
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.functions.ip import cidr_bounds
+from tidewire.functions.ip import cidr_columns
 
 
 def from_lines(lines: list[str]) -> list[str]:
@@ -68,14 +68,11 @@ def read_list(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_ranges(spark: SparkSession, path: str, values: dict[str, str]) -> DataFrame:
-    """A range table from CSV with a ``network`` column; ``values`` maps the file's columns to ours."""
-
-    @F.udf("lo string, hi string, prefix_len int")
-    def bounds(network: str):
-        return cidr_bounds(network)
-
+    """A range table from CSV with a ``network`` column; ``values`` maps the file's columns to ours. Lines without a valid prefix are left out."""
     raw = spark.read.option("header", True).csv(path)
-    return raw.select(bounds("network").alias("b"), *[F.col(c).alias(n) for c, n in values.items()]).select("b.*", *values.values())
+    lo, hi, length = cidr_columns(F.col("network"))
+    own = raw.select(lo.alias("lo"), hi.alias("hi"), length.alias("prefix_len"), *[F.col(c).alias(n) for c, n in values.items()])
+    return own.where("lo IS NOT NULL")
 
 
 def newer(remote_ms: int | None, local_ms: int | None) -> bool:

@@ -22,8 +22,12 @@ def with_partitions(rows: DataFrame, table: str) -> DataFrame:
 
 
 def write(rows: DataFrame, path: str, table: str, mode: str = "append", max_records: int = 0) -> None:
-    """Append to the partitioned table; Spark's committer shows files only when they are whole."""
-    placed = with_partitions(rows, table).drop("dns_query", "dns_response")
+    """Append to the partitioned table; Spark's committer shows files only when they are whole.
+
+    Rows meet by partition first, so a partition gets few files; adaptive
+    execution splits the large ones. ``max_records`` rolls files over by rows.
+    """
+    placed = with_partitions(rows, table).drop("dns_query", "dns_response").hint("rebalance", *PARTITIONS[table])
     writer = placed.write.mode(mode).partitionBy(*PARTITIONS[table]).option("compression", "snappy")
     writer = writer.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.row.count.limit", PAGE_ROWS)
     (writer.option("maxRecordsPerFile", max_records) if max_records else writer).parquet(path)

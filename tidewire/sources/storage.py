@@ -7,6 +7,12 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import SparkSession
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, else one in the warehouse."""
+    known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (known or spark.conf.get("spark.sql.warehouse.dir") + "/_staged").rstrip("/")
+
+
 class Storage:
     """File operations by path; the path's scheme picks the file system, local without one."""
 
@@ -43,6 +49,14 @@ class Storage:
         finally:
             stream.close()
 
+    def write(self, path: str, text: str) -> None:
+        fs, p = self._at(path)
+        stream = fs.create(p, True)
+        try:
+            stream.write(bytearray(text.encode()))
+        finally:
+            stream.close()
+
     def upload(self, source: str, target: str, delete: bool = False) -> bool:
         fs, p = self._at(source)
         to, q = self._at(target)
@@ -63,6 +77,12 @@ class Storage:
         fs, p = self._at(path)
         return fs.exists(p) and fs.delete(p, recursive)
 
+    def delete_on_exit(self, path: str) -> str:
+        """Delete the path when the application ends; returns it."""
+        fs, p = self._at(path)
+        fs.deleteOnExit(p)
+        return path
+
     def mkdir(self, path: str) -> bool:
         fs, p = self._at(path)
         return fs.mkdirs(p)
