@@ -368,3 +368,42 @@ def test_range_columns(spark):
     got = [tuple(r) for r in rows.select(*cidr_columns(F.col("n"))).collect()]
     assert got[: len(given)] == [cidr_bounds(x) for x in given] and got[len(given)] == (None, None, None)
     assert all(g[0] is None for g in got[len(given) :])
+
+
+def test_run_carries_its_state(spark, tmp_path):
+    """Files one by one and stopped between them, then the rest: the same rows as all at once."""
+    source, seen = tmp_path / "in", []
+    source.mkdir()
+    captures(source)
+    settings = ingest.Settings(server="ns1_ams")
+    rows = lambda root: sorted((r["id"], r["proc_time"], r["pcap_file"]) for r in maintenance.read_table(spark, f"{root}/dns", "dns").collect())
+    whole, _ = ingest.run(spark, str(source), str(tmp_path / "one"), settings)
+    asked = iter([False, True])
+    first, _ = ingest.run(spark, str(source), str(tmp_path / "two"), settings, each=True, stop=lambda: next(asked), writers=(lambda table, df: seen.append((table, df.count())),))
+    known = spark.createDataFrame([(f, "ns1_ams") for f in first], "file string, server string")
+    second, _ = ingest.run(spark, str(source), str(tmp_path / "two"), settings, known, each=True)
+    assert whole == ["a-1.pcap", "a-2.pcap", "broken.pcap"] == first + second and first == ["a-1.pcap"]
+    assert rows(tmp_path / "one") == rows(tmp_path / "two") and seen == [("dns", 1), ("icmp", 1)]
+    pending, still = ingest.load_state(spark, str(tmp_path / "two" / "_state" / "ns1_ams"))
+    assert [r["id"] for r in pending.collect()] == [4] and still.count() > 0
+
+
+def test_a_broken_state_starts_clean(spark, tmp_path):
+    path = tmp_path / "s" / "state" / "pending"
+    path.mkdir(parents=True)
+    (path / "x.parquet").write_bytes(b"no parquet")
+    assert ingest.load_state(spark, str(tmp_path / "s")) == (None, None) and not path.exists()
+
+
+def test_rows_without_required_columns_are_rejected(spark, result, tmp_path):
+    from dataclasses import replace
+
+    broken = replace(result, dns=result.dns.withColumn("time", F.when(F.col("id") != 2, F.col("time"))))
+    root = str(tmp_path / "lake")
+    spark.sql("CREATE DATABASE IF NOT EXISTS rejects")
+    for t in ("dns", "icmp"):
+        ddl.create_table(spark, "rejects", t, f"{root}/{t}")
+    ingest.store(broken, root, "rejects")
+    assert spark.table("rejects.dns").count() == 2 and spark.table("rejects.icmp").count() == 1
+    assert [r["id"] for r in spark.read.parquet(f"{root}/_rejects/dns").collect()] == [2]
+    spark.sql("DROP DATABASE rejects CASCADE")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -14,11 +14,13 @@ from tidewire.operators import files as inputs
 from tidewire.operators import maintenance
 from tidewire.operators.enrich import Enricher
 from tidewire.operators.matching import TIMEOUT_MS, match_files
-from tidewire.operators.metrics import all_metrics
+from tidewire.operators.metrics import all_metrics, flush, merge
 from tidewire.operators.routing import explode_messages, split
 from tidewire.operators.rows import dns_rows, icmp_rows
+from tidewire.plans import ddl
 from tidewire.schema import LEDGER_SCHEMA
 from tidewire.sources import pcap, sink
+from tidewire.sources.storage import Storage
 
 
 @dataclass
@@ -44,6 +46,11 @@ class Result:
     rejected: DataFrame
     packets: DataFrame
 
+    def release(self) -> None:
+        """Let go of the rows that are kept for this result; after that it is computed anew."""
+        for kept in (self.packets, self.dns, self.icmp):
+            kept.unpersist()
+
 
 def choose(spark: SparkSession, folder: str, ledger: DataFrame | None, settings: Settings) -> dict[str, str]:
     """Names and paths of the files to read, in order: new ones, without the newest if it may still be written."""
@@ -62,8 +69,11 @@ def ingest(spark: SparkSession, folder: str, settings: Settings | None = None, l
     """
     s = settings or Settings()
     chosen = choose(spark, folder, ledger, s)
-    if not chosen:
-        return None
+    return ingest_files(spark, chosen, s, pending) if chosen else None
+
+
+def ingest_files(spark: SparkSession, chosen: dict[str, str], s: Settings, pending: DataFrame | None = None) -> Result:
+    """Read the captures ``chosen`` (name: path), in the order given."""
     names = list(chosen)
     packets = pcap.read(spark, list(chosen.values()), s.server, s.tcp).persist(StorageLevel.MEMORY_AND_DISK)  # other files are not opened
     good = packets.where(F.col("error").isNull())
@@ -104,10 +114,96 @@ def record(spark: SparkSession, result: Result, folder: str, settings: Settings,
     return ledger
 
 
-def store(result: Result, root: str) -> Iterable[DataFrame]:
-    """Append both tables below ``root``; returns the partitions that they touched."""
+def store(result: Result, root: str, database: str | None = None) -> list[DataFrame]:
+    """Append both tables below ``root``; returns the partitions that they touched.
+
+    Rows that lack a required column go to ``_rejects`` instead. With a
+    ``database`` the partitions are added to its tables ``dns`` and ``icmp``.
+    """
     touched = []
     for table, rows in (("dns", result.dns), ("icmp", result.icmp)):
-        sink.write(rows, f"{root}/{table}", table)
-        touched.append(sink.partitions_of(rows, table))
+        good, bad = sink.split_valid(rows, table)
+        sink.write(good, f"{root}/{table}", table)
+        if not bad.isEmpty():
+            bad.write.mode("append").parquet(f"{root}/_rejects/{table}")
+        touched.append(sink.partitions_of(good, table))
+        if database:
+            add_to_catalog(good.sparkSession, database, table, f"{root}/{table}", touched[-1])
     return touched
+
+
+def add_to_catalog(spark: SparkSession, database: str, table: str, path: str, places: DataFrame) -> None:
+    """Add the partitions of a stored table to the catalog; partitions that it has stay."""
+    keys = ["year", "month", "day", *(["server"] if table == "dns" else [])]
+    rows = places.select("path", *keys).distinct().collect()  # as many as the run touched
+    ddl.add_partitions(spark, f"{database}.{table}", [({k: r[k] for k in keys}, f"{path}/{r['path']}") for r in rows])
+    ddl.refresh(spark, f"{database}.{table}")
+
+
+def save_state(spark: SparkSession, path: str, pending: DataFrame | None, metrics: DataFrame | None) -> None:
+    """Write what the next run needs aside, then put it in place of the state before."""
+    store_, new = Storage(spark), f"{path}/_new"
+    store_.delete(new, recursive=True)
+    for name, rows in (("pending", pending), ("metrics", metrics)):
+        if rows is not None:
+            rows.write.parquet(f"{new}/{name}")
+    store_.delete(f"{path}/state", recursive=True)
+    if not store_.move(new, f"{path}/state") and store_.exists(new):
+        raise OSError(f"cannot move {new}")
+
+
+def load_state(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """(pending, metrics) as saved; a state that cannot be read is deleted, and the run starts clean."""
+    store_, found = Storage(spark), []
+    for name in ("pending", "metrics"):
+        try:
+            rows = spark.read.parquet(f"{path}/state/{name}") if store_.exists(f"{path}/state/{name}") else None
+            if rows is not None:
+                rows.foreach(lambda _: None)  # the whole of it can be read
+            found.append(rows)
+        except Exception:
+            store_.delete(f"{path}/state", recursive=True)
+            return None, None
+    return found[0], found[1]
+
+
+def run(
+    spark: SparkSession,
+    folder: str,
+    root: str,
+    settings: Settings | None = None,
+    ledger: DataFrame | None = None,
+    database: str | None = None,
+    each: bool = False,
+    stop: Callable[[], bool] = lambda: False,
+    writers: tuple[Callable[[str, DataFrame], None], ...] = (),
+) -> tuple[list[str], DataFrame | None]:
+    """Ingest a folder's new captures, store them, carry the state: (files done, metrics of buckets that are over).
+
+    ``each``: files are stored one by one, as they are done, and ``stop`` is asked
+    between them; else all at once. ``writers`` get every table's rows as well. The
+    state, pending queries and the metrics of open buckets, is kept below ``root``.
+    """
+    s = settings or Settings()
+    chosen = choose(spark, folder, ledger, s)
+    done, over = [], None
+    state = f"{root}/_state/{s.server}"
+    for part in [{k: v} for k, v in chosen.items()] if each else [chosen] if chosen else []:
+        if stop():
+            break
+        pending, open_buckets = load_state(spark, state)
+        result = ingest_files(spark, part, s, pending)
+        store(result, root, database)
+        for writer in writers:
+            writer("dns", result.dns)
+            writer("icmp", result.icmp)
+        now = merge(open_buckets, result.metrics) if open_buckets is not None else result.metrics
+        closed, still = flush(now.persist(StorageLevel.MEMORY_AND_DISK))
+        save_state(spark, state, result.pending, still)
+        closed.write.mode("append").parquet(f"{root}/_metrics")
+        now.unpersist()
+        result.release()
+        done += part
+    if Storage(spark).exists(f"{root}/_metrics"):
+        over = spark.read.parquet(f"{root}/_metrics")
+    return done, over

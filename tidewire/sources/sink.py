@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import socket
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewire.functions.labels import partition_path, server_partition
 from tidewire.functions.times import partition_columns
-from tidewire.schema import PARTITIONS
+from tidewire.schema import DNS_SCHEMA, ICMP_SCHEMA, PARTITIONS
 
 # Parquet settings.
 ROW_GROUP_BYTES, PAGE_ROWS = 128 << 20, 20_000
@@ -21,11 +22,19 @@ def with_partitions(rows: DataFrame, table: str) -> DataFrame:
     return out.withColumn("server", server_partition(F.col("server"))) if table == "dns" else out
 
 
+def split_valid(rows: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that have every required column, the others)."""
+    required = [f.name for f in {"dns": DNS_SCHEMA, "icmp": ICMP_SCHEMA}[table].fields if not f.nullable]
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required], F.lit(True))
+    return rows.where(whole), rows.where(~whole)
+
+
 def write(rows: DataFrame, path: str, table: str, mode: str = "append", max_records: int = 0) -> None:
     """Append to the partitioned table; Spark's committer shows files only when they are whole.
 
     Rows meet by partition first, so a partition gets few files; adaptive
-    execution splits the large ones. ``max_records`` rolls files over by rows.
+    execution rolls large ones over at its advisory size. ``max_records`` rolls
+    files over by rows.
     """
     placed = with_partitions(rows, table).drop("dns_query", "dns_response").hint("rebalance", *PARTITIONS[table])
     writer = placed.write.mode(mode).partitionBy(*PARTITIONS[table]).option("compression", "snappy")
