@@ -100,7 +100,7 @@ def bigrams_of(text: str) -> Counter:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def bounds(size: int, least: float) -> tuple[int, int]:
@@ -128,7 +128,8 @@ def template_rows(templates=TEMPLATES, least: float = LEAST) -> list[tuple[int,
     for i, (licence, text) in enumerate(templates):
         bag = bigrams_of(text)
         size = sum(bag.values())
-        out += [(i, licence, b, n, size, need(size, least)) for b, n in bag.items()]
+        fewest = need(size, least) if size else 0
+        out += [(i, licence, b, n, size, fewest) for b, n in bag.items()]
     return out
 
 
@@ -139,13 +140,14 @@ def length_rows(templates=TEMPLATES, least: float = LEAST) -> list[tuple[int, in
 
 def hits(docs: DataFrame, id_col: str, text_col: str, templates, least: float) -> DataFrame:
     """row, id, n (bigrams of the text), pos, gram: where bigrams stand that any template has; and one without ``gram`` for each row."""
-    known = sorted({r[2] for r in template_rows(templates, least)})
-    near = F.broadcast(small_table(docs.sparkSession, list(enumerate(known)), "gram int, bigram string"))
+    known = [(i, *g.split(" ")) for i, g in enumerate(sorted({r[2] for r in template_rows(templates, least)}))]
+    near = F.broadcast(staged(small_table(docs.sparkSession, known, "gram int, one string, two string"), "grams"))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), _words(F.coalesce(F.col(text_col), F.lit(""))).alias("words"))  # before the explosion
-    pairs = F.zip_with("words", F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))), lambda x, y: F.concat_ws(" ", x, F.when(y.isNotNull(), y)))
+    later = F.slice("words", 2, F.greatest(F.size("words"), F.lit(1)))
     n = F.greatest(F.size("words") - 1, F.lit(0))
-    each = rows.select("row", "id", n.alias("n"), F.posexplode(F.concat(F.slice(pairs, 1, n), F.array(F.lit("")))).alias("pos", "bigram"))
-    found = each.join(near, each["bigram"] == near["bigram"], "left").where(F.col("gram").isNotNull() | (each["bigram"] == ""))
+    # a text's last word has none after it: that is its empty row (or, without any word, the outer one)
+    each = rows.select("row", "id", n.alias("n"), F.posexplode_outer(F.arrays_zip(F.col("words").alias("first"), later.alias("second"))).alias("pos", "pair"))
+    found = each.join(near, (F.col("pair.first") == F.col("one")) & (F.col("pair.second") == F.col("two")), "left").where(F.col("gram").isNotNull() | F.col("pair.second").isNull())
     # the id goes with the empty row alone; what is staged is read several times, and row numbers stay as they are
     return staged(found.select("row", F.when(F.col("gram").isNull(), F.col("id")).alias("id"), "n", "pos", "gram"), "hits")
 
@@ -154,7 +156,8 @@ def matches(found: DataFrame, templates=TEMPLATES, least: float = LEAST) -> Data
     """The best window of each row and template that reaches ``least``: row, template, licence, b, dice, first, last (bigrams)."""
     spark, told = found.sparkSession, template_rows(templates, least)
     gram = {g: i for i, g in enumerate(sorted({r[2] for r in told}))}
-    near = F.broadcast(small_table(spark, [(t, licence, gram[g], *rest) for t, licence, g, *rest in told], "template int, licence string, gram int, want int, b int, need int"))
+    # staged: thousands of rows inside a plan make planning slow
+    near = F.broadcast(staged(small_table(spark, [(t, licence, gram[g], *rest) for t, licence, g, *rest in told], "template int, licence string, gram int, want int, b int, need int"), "templates"))
     sizes = F.broadcast(small_table(spark, length_rows(templates, least), "template int, len int"))
     own = found.where("gram IS NOT NULL").join(near.select("template", "gram", "need"), "gram")
     enough = own.groupBy("row", "template").agg(F.count("*").alias("all"), F.first("need").alias("need")).where("all >= need").select("row", "template")
