@@ -9,11 +9,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewire.functions import labels as lb
 from tidewire.operators import control, maintenance, metrics, rows
+from tidewire.operators import files as inputs
 from tidewire.operators.routing import explode_messages, split
 from tidewire.plans import catalogue, ddl, pseudo
 from tidewire.schema import LEDGER_SCHEMA
@@ -177,6 +178,16 @@ def archive_cycle(spark, sf):
     return spark.createDataFrame(where, "file string, place string")
 
 
+@query(f"SELECT file, octet_length(encode(file)) AS bytes FROM {catalogue._FILES_SQL} WHERE file LIKE '%.gz' OR file LIKE '%.xz'")
+def files_discovered(spark, sf):
+    """Compressed captures of a folder that holds others, too; their contents are not read."""
+    store, root = Storage(spark), _folder(spark, "found")
+    for row in catalogue._files(spark, sf).select("file").collect():  # as many as there are files
+        store.write(f"{root}/{row['file']}", row["file"])
+    store.write(f"{root}/notes.txt", "x")
+    return inputs.discover(spark, root, [".gz", ".xz"]).select("file", F.col("bytes").cast("int").alias("bytes"))
+
+
 _LEDGER_SQL = "(SELECT o_orderkey AS id, concat('f', o_custkey) AS file, CASE WHEN o_orderkey % 2 = 0 THEN 'ns1' ELSE 'ns2' END AS server, o_orderdate AS began FROM orders)"
 
 
@@ -239,6 +250,15 @@ def range_files(spark, sf):
 # --- metrics out, and as a stream ---
 
 
+@query(catalogue.MJ + "SELECT count(*) AS n, count(q_seq) AS requests, count(r_seq) AS responses, count_if(kind = 'expired')::BIGINT AS expired FROM j")
+def operational_counts(spark, sf):
+    """What is counted while matched rows pass."""
+    seen = Observation()
+    metrics.operational(catalogue._joined(spark, sf), seen).write.format("noop").mode("overwrite").save()
+    found = seen.get
+    return spark.createDataFrame([tuple(found[k] for k in ("rows", "requests", "responses", "expired"))], "n long, requests long, responses long, expired long")
+
+
 @query("SELECT concat('p.', metric, '.ns.', server, ' ', CAST(value AS VARCHAR), ' ', bucket) AS value FROM (" + catalogue._series_sql("concat('dns.request.rcode.', rcode)") + ")")
 def graphite_lines(spark, sf):
     return metrics.graphite_lines(catalogue._series(metrics.RCODE)(spark, sf), "p")
