@@ -722,6 +722,26 @@ def test_image_sizes_turns_and_small_crops(spark):
 # --- shared ---
 
 
+def test_clashing_columns(spark):
+    """Columns named as the operators' own are ignored."""
+    names = ["digest", "id", "text", "n_chars", "record_type", "keep", "value", "img", "corners", "group_id", "n_links", "row", "first"]
+    extra = lambda df: df.withColumns({n: F.lit(5) for n in names})
+    page = "<body><nav><a href=/>Home</a></nav><article><p>The council voted on Monday.</p></article></body>"
+    pages = extra(spark.createDataFrame([(1, "u", page), (2, None, None)], "page_id long, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in html_extract.main_text(pages).collect()} == {1: "The council voted on Monday.", 2: ""}
+    assert {r["page_id"]: r["payload_bytes"] for r in warc.archive(pages).collect()} == {1: len(page), 2: 0}
+    px = media.scene(np.arange(8, dtype=np.float32))
+    shown = extra(spark.createDataFrame([(1, images.encode(px)), (2, images.encode(px[5:, 5:])), (3, None)], "vec_id long, image binary"))
+    assert {r["vec_id"]: r["group_id"] for r in images.find_copies(shown, "vec_id").collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_media_of_odd_vectors(spark):
+    rows = spark.createDataFrame([(0, [1.0, 2.0]), (3, None), (3, [1.0]), (None, [4.0]), (-7, [])], "vec_id long, embedding array<float>")
+    got = media.rendered(rows).collect()
+    assert len(got) == 5 and media.rendered(rows.limit(0)).count() == 0
+    assert all(images.decode(r["image"]) is not None for r in got if r["image"] is not None)
+
+
 @pytest.mark.parametrize("most", [0, 100])
 def test_drop_rows(spark, most):
     rows = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "c"), (None, "c"), (2, "d")], "id long, t string")

@@ -77,3 +77,19 @@ def test_pipeline_by_brute_force(spark):
     for _, stage in corpus_pipeline.STAGES[:3]:
         now = stage(spark, now, SF)
     assert {r["doc_id"] for r in now.collect()} == want
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+    from test_operators import ODD, SCHEMA, docs
+
+    texts = [*ODD, *ODD, "ONE", *[f"text number {i} of a few words" for i in range(12)]]
+    odd = docs(spark, texts, ids=[None if i == 5 else 3 if i in (3, 4) else i for i in range(len(texts))])
+    odd.write.parquet(f"{tmp_path}/odd/documents.parquet")
+    rows = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    used = Counter()
+    for r in rows:
+        used[r["sequence_id"]] += r["length"]
+    assert rows and max(used.values()) <= 1024
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
