@@ -49,3 +49,22 @@ def test_entry(spark):
 def test_stored_table_is_pruned(spark):
     plan = QUERIES["partition_prune"](spark, SF)._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "(server#" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+
+
+@pytest.fixture(scope="module")
+def many_users(tmp_path_factory):
+    """The events under repeated and shifted keys, so that ports leave 16 bits and some share their low ones."""
+    sf = tmp_path_factory.mktemp("many")
+    shifts = "(VALUES (0, 0), (1, 60000), (2, 65536), (3, 131072), (4, 2147480000)) s(i, shift)"
+    duckdb.sql(f"COPY (SELECT event_id + 1000000 * i AS event_id, ts, user_id + shift AS user_id, event_type, value, props FROM '{SF}/events.parquet', {shifts}) TO '{sf}/events.parquet'")
+    return str(sf)
+
+
+@pytest.mark.parametrize("name", ["capture_throughput"])
+def test_captures_of_ports_beyond_16_bits(spark, many_users, name):
+    con = duckdb.connect()
+    con.sql("SET timezone = 'UTC'")
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{many_users}/events.parquet'")
+    found = con.sql(SQL[name])
+    got = QUERIES[name](spark, many_users).select(*found.columns).collect()
+    assert len(got) > 0 and sorted(tuple(map(plain, r)) for r in got) == sorted(tuple(map(plain, r)) for r in found.fetchall())

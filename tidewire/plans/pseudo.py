@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import bz2
 import gzip
+import io
 import lzma
+import struct
+from collections.abc import Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,39 +161,76 @@ def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SUFFIXES = ("", ".gz", ".xz", ".bz2")
 SERVER = "192.0.2.53"
+#: The EDNS option (code of local use) that tells a client's port where it does not fit the 16 bits on the wire.
+WIDE_PORT = 65100
 
 
 def _packet(row: dict, seqs: dict) -> bytes:
     """A UDP message, a TCP segment of two messages, or, without a name, an ICMP error that quotes a query."""
     ends = (row["client"], SERVER) if row["qr"] == 0 else (SERVER, row["client"])
-    ports = (row["port"], 53) if row["qr"] == 0 else (53, row["port"])
+    port = row["port"] & 0xFFFF
+    opt = None if port == row["port"] else capture.option(WIDE_PORT, struct.pack(">i", row["port"]))
+    ports = (port, 53) if row["qr"] == 0 else (53, port)
     if row["qname"] is None:
-        quoted = capture.ip(capture.udp(capture.dns(row["id"], qname=f"q{row['k'] % 4}.example.com.", qtype=row["qtype"]), row["port"]), 17, row["client"], SERVER)
+        quoted = capture.ip(capture.udp(capture.dns(row["id"], qname=f"q{row['k'] % 4}.example.com.", qtype=row["qtype"], opt=opt), port), 17, row["client"], SERVER)
         return capture.ip(bytes([3, 3]) + bytes(6) + quoted, 1, SERVER, row["client"])
-    told = [capture.dns(row["id"] + 16 * i, row["qr"] == 1, row["qname"], row["qtype"], row["rcode"]) for i in (0, 1)]
+    told = [capture.dns(row["id"] + 16 * i, row["qr"] == 1, row["qname"], row["qtype"], row["rcode"], opt=opt) for i in (0, 1)]
     if row["prot"] == 17:
         return capture.ip(capture.udp(told[0], *ports), 17, *ends)
     flow, data = (*ends, *ports), capture.framed(*told)
-    seqs[flow] = seqs.get(flow, 1000) + len(data)
-    return capture.ip(capture.tcp(data, seqs[flow] - len(data), *ports), 6, *ends)
+    at = seqs.get(flow, 1000)
+    seqs[flow] = (at + len(data)) & 0xFFFFFFFF
+    return capture.ip(capture.tcp(data, at, *ports), 6, *ends)
+
+
+def full_port(opt: Column, port: Column) -> Column:
+    """A client's port: as its message's EDNS option tells it, else as on the wire."""
+    told = F.try_element_at(F.filter(opt["options"], lambda o: o["code"] == WIDE_PORT), F.lit(1))["data"]
+    value = F.conv(F.hex(told), 16, 10).cast("long")
+    return F.coalesce(F.when(value < 1 << 31, value).otherwise(value - (1 << 32)), port.cast("long")).cast("int")
+
+
+class _Capture:
+    """One file that is written packet by packet and compressed at once, so that only its bytes are held."""
+
+    def __init__(self, name: str, damaged: bool):
+        day = int(name[-2:])
+        self.suffix, self.seqs, self.out = SUFFIXES[day % 4], {}, io.BytesIO()
+        self.path, self.damaged = f"/{name}.pcap{self.suffix}", damaged and day % 5 == 0
+        pack = {"": lambda f: f, ".gz": lambda f: gzip.GzipFile(fileobj=f, mode="wb", mtime=0), ".xz": lambda f: lzma.open(f, "wb"), ".bz2": lambda f: bz2.open(f, "wb")}
+        self.file = pack[self.suffix](self.out)
+        self.file.write(capture.pcap([]))
+
+    def add(self, rows: list[dict]) -> None:
+        self.file.write(capture.pcap([(row["time"], _packet(row, self.seqs)) for row in rows], header=False))
+
+    def ended(self) -> pa.RecordBatch:
+        if self.suffix:
+            self.file.close()  # ends the compressed data, not what they are written to
+        data = self.out.getvalue()
+        if self.damaged:
+            data = (data[:20] if self.suffix else b"") + bytes([7]) * 64
+        return pa.RecordBatch.from_arrays([pa.array([self.path]), pa.array([data], pa.binary())], ["path", "content"])
 
 
 def captures(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     """Capture files as binaryFile rows (path, content): one a day, plain or compressed by the day; ``damaged``: those of each fifth day are broken."""
 
-    def write(part: pd.DataFrame) -> pd.DataFrame:
-        name, seqs = part["pcap_file"].iloc[0], {}
-        part = part.sort_values("seq").astype(object).where(part.notna(), None)
-        day = int(name[-2:])
-        suffix = SUFFIXES[day % 4]
-        data = capture.pcap([(row["time"], _packet(row, seqs)) for row in part.to_dict("records")])
-        data = {"": bytes, ".gz": lambda x: gzip.compress(x, mtime=0), ".xz": lzma.compress, ".bz2": bz2.compress}[suffix](data)
-        if damaged and day % 5 == 0:
-            data = (data[:20] if suffix else b"") + bytes([7]) * 64
-        return pd.DataFrame({"path": [f"/{name}.pcap{suffix}"], "content": [data]})
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, now = None, None
+        for batch in batches:
+            for own, rows in groupby(batch.to_pylist(), lambda row: row["pcap_file"]):
+                if now is None or own != name:
+                    if now is not None:
+                        yield now.ended()
+                    name, now = own, _Capture(own, damaged)
+                now.add(list(rows))
+        if now is not None:
+            yield now.ended()
 
     rows = messages(spark, sf_dir).select("pcap_file", "seq", "time", "qr", "id", "client", "port", "qname", "qtype", "rcode", "prot", "k")
-    return rows.groupBy("pcap_file").applyInPandas(write, "path string, content binary")
+    # a file's packets come in the order of their times, as streams, so that no task holds a day's rows
+    return rows.repartition("pcap_file").sortWithinPartitions("pcap_file", "time", "seq").mapInArrow(write, "path string, content binary")
 
 
-__all__ = ["GEO_SQL", "MESSAGES_SQL", "asn", "captures", "geo", "ip_key", "messages", "packets", "resolvers"]
+__all__ = ["GEO_SQL", "MESSAGES_SQL", "asn", "captures", "full_port", "geo", "ip_key", "messages", "packets", "resolvers"]
