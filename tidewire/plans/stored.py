@@ -79,7 +79,8 @@ _AT = catalogue.M.rstrip() + f", c AS (SELECT *, {_file_sql()} AS file FROM (SEL
 def capture_messages(spark, sf):
     """Messages of plain and compressed captures: UDP packets, and TCP segments that hold two."""
     dns, _, _ = split(_decoded(spark, sf).where("error IS NULL"))
-    m = explode_messages(dns)
+    found = explode_messages(dns)
+    m = found.withColumn("port", pseudo.full_port(F.col("message.opt"), F.col("port")))
     return m.select("pcap_file", "time", "qr", "id", "qname", "qtype", F.col("message.rcode").alias("rcode"), "client", "port", "prot", "server_location")
 
 
