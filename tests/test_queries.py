@@ -60,7 +60,7 @@ def many_users(tmp_path_factory):
     return str(sf)
 
 
-@pytest.mark.parametrize("name", ["capture_throughput", "capture_rejects", "capture_messages"])
+@pytest.mark.parametrize("name", ["capture_throughput", "capture_rejects", "capture_messages", "capture_icmp"])
 def test_captures_of_ports_beyond_16_bits(spark, many_users, name):
     con = duckdb.connect()
     con.sql("SET timezone = 'UTC'")

@@ -88,7 +88,10 @@ def capture_messages(spark, sf):
 def capture_icmp(spark, sf):
     """ICMP errors of captures with the queries that they quote."""
     _, icmp, _ = split(_decoded(spark, sf).where("error IS NULL"))
-    return rows.icmp_rows(icmp).select("pcap_file", "time", "icmp_type", "icmp_code", "ip_src", "ip_dst", "orig_dns_id", "orig_dns_qname", "orig_dns_qtype", "orig_l4_prot", "orig_l4_srcp", "orig_l4_dstp")
+    orig = F.col("icmp.orig")
+    full = orig.withField("srcp", pseudo.full_port(orig["message"]["opt"], orig["srcp"]))
+    found = icmp.withColumn("icmp", F.col("icmp").withField("orig", full))
+    return rows.icmp_rows(found).select("pcap_file", "time", "icmp_type", "icmp_code", "ip_src", "ip_dst", "orig_dns_id", "orig_dns_qname", "orig_dns_qtype", "orig_l4_prot", "orig_l4_srcp", "orig_l4_dstp")
 
 
 @query(_AT + "SELECT file AS pcap_file, day(any_value(ts)) % 5 = 0 AS rejected FROM c GROUP BY file")
