@@ -672,6 +672,34 @@ def test_crowded_image_links_by_brute_force(spark):
     assert len(got) >= 0.9 * len(want)
 
 
+def test_all_image_links_of_a_crowd(spark):
+    """More pictures than fit a table's entry before share five corners; each has its own bits, so only whole entries tell all pairs."""
+    rng, rows, most = np.random.default_rng(21), [], 3 * images.BUCKET
+    shared = np.packbits(rng.integers(0, 2, (5, 256), dtype=np.uint8), axis=1).view(">i8")
+    for img in range(most):
+        for k, d in enumerate(shared.tolist()):
+            # within the first word's later bits and one other word, so that entries are crowded and no two words are whole
+            own = [d[0] ^ int(rng.integers(1, 1 << 8)) << 20, d[1] ^ 1 << int(rng.integers(40)), d[2] ^ 1 << int(rng.integers(40)), d[3] ^ 1 << int(rng.integers(40))]
+            rows.append((img, k, (float(40 * k), float(30 * k * k), 0.0, 1.0, own)))
+    corners = staged(spark.createDataFrame(rows, f"img long, corner int, c {images.CORNER}"))
+    want = {(a, b): 5 for a in range(most) for b in range(a)}
+    assert {(r["a"], r["b"]): r["n"] for r in images.links(corners).collect()} == want
+
+
+def test_image_links_in_blocks_and_pieces(spark, monkeypatch):
+    rng, rows = np.random.default_rng(22), []
+    for i in range(10):
+        px = media.scene(rng.normal(size=8).astype(np.float32))
+        rows += [(10 * i + k, j, c) for k in (0, 2, 5, 8) for j, c in enumerate(images.describe(media.variant(px, k, i)))]
+    corners = staged(spark.createDataFrame(rows, f"img long, corner int, c {images.CORNER}"))
+    whole = sorted(map(tuple, images.links(corners).collect()))
+    assert len(whole) > 20 and sorted(map(tuple, images.links(corners, block=300).collect())) == whole
+    own = images._Pictures(corners.groupBy("img").agg(F.collect_list("c").alias("corners")).toArrow())
+    monkeypatch.setattr(images, "ROOM", 50)
+    got = images._linked(own, own, True, images.DISTANCE, images.CONSENSUS, images.TOLERANCE)
+    assert sorted((int(a), int(b), n) for a, b, n in got) == whole
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_damaged_images_are_unreadable(seed):
     rng = np.random.default_rng(seed)

@@ -7,8 +7,8 @@ highest within ``SPREAD`` pixels of its level, so their number grows with the
 image; the pyramid goes down to the last level that can hold one (33 pixels).
 
 The four words of a descriptor are the keys of four Hamming tables: corners of
-different images meet that agree in the first 24 bits of a word, or, where more
-than ``BUCKET`` do, in the least number of bits at which no more do. Two images
+different images meet that agree in the first ``WIDTH`` bits of a word, however
+many do. Two images
 with two meetings within ``SEED`` bits, or one within ``SURE``, are compared
 corner by corner: corners that are each other's nearest, at most ``DISTANCE``
 bits apart, match. Each match proposes a similarity (scale, turn, shift); it
@@ -17,11 +17,10 @@ scale agree with its own, so that chance matches, of which large pictures have
 many, hardly ever agree. Two images link when one proposal explains at least
 ``CONSENSUS`` spots. Components of links are groups of copies.
 
-Byte-equal images are one image to the search, so exact copies never pair. Where
-a whole word is crowded, its corners meet again by the first bits of the next
-word, and in any case with the few that come first in a fixed order. n_links
-counts the links that were compared, so in crowded groups it may be less than
-the number of copies; recall is measured in the tests and the README.
+Byte-equal images are one image to the search, so exact copies never pair. All
+that meet are compared: no entry of a table is capped, so n_links counts every
+link that the rule above finds, and work grows with the square of a crowd. Recall
+against all pairs, met or not, is measured in the tests and the README.
 
 Formats: PNG (8 bits a channel, not interlaced), PGM and PPM (binary, 8 bits).
 
@@ -40,10 +39,14 @@ import math
 import re
 import struct
 import zlib
+from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches, staged
@@ -57,10 +60,12 @@ RADIUS, MARGIN = 13, 15
 DISTANCE, CONSENSUS, TOLERANCE = 56, 5, 4.0
 #: Pixels more that it may be off per pixel from its own corner; side of a spot.
 SLACK, SPOT = 0.1, 8
-#: Bits that corners which agree in a table share: the least of these at which at most ``BUCKET`` agree.
-WIDTHS, BUCKET = (24, 32, 40, 48, 56, 64), 64
-#: Corners that the others pair with where a whole word is crowded.
-FIRST = 4
+#: Bits that corners which agree in a table share.
+WIDTH = 24
+#: Corners that crowd an entry of a table; the tests make crowds of more, which are compared like any others.
+BUCKET = 64
+#: Corners of a block, about, and pairs of corners that are compared at once.
+BLOCK, ROOM = 500_000, 1 << 18
 #: Most differing bits of a meeting in the tables, and of one that suffices alone.
 SEED, SURE = 32, 16
 #: Cosine of the angle, and the factor, by which a match's own turn and scale may differ from a proposal's.
@@ -270,94 +275,182 @@ def descriptors(images: DataFrame, id_col: str, image_col: str) -> DataFrame:
     return small_batches(images).select(F.col(id_col).alias("id"), F.sha2(blob, 256).alias("digest"), of(blob).alias("corners"))
 
 
-def _bits(a: list[Column], b: list[Column]) -> Column:
-    return sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a[1:], b[1:], strict=True)), F.bit_count(a[0].bitwiseXOR(b[0])))
-
-
-def _head(width: int, later: int = 0) -> Column:
-    """The first bits of the descriptor's word that table t looks at, or of one after it."""
-    return F.shiftrightunsigned(F.element_at(F.array(*WORDS), (F.col("t") + later) % len(WORDS) + 1), 64 - width)
-
-
-def _entries(corners: DataFrame) -> DataFrame:
-    """img, corner, words, t, entry: one row per corner and table."""
-    rows = corners.select("img", "corner", *[F.col("c.d")[i].alias(w) for i, w in enumerate(WORDS)], F.explode(F.sequence(F.lit(0), F.lit(3))).alias("t"))
-    return rows.withColumn("entry", F.xxhash64("t", _head(WIDTHS[0])))
-
-
-def seeds(corners: DataFrame, distance: int = SEED, bucket: int = BUCKET, first: int = FIRST) -> DataFrame:
-    """Pairs of corners (a, ca, b, cb, bits) of different images that meet in a table and differ in at most ``distance`` bits."""
-    bits = _bits([F.col(f"x.{w}") for w in WORDS], [F.col(f"y.{w}") for w in WORDS])
-    swap = F.col("x.img") < F.col("y.img")
-    pick = lambda f, i, j: F.when(swap, F.col(f"y.{f}")).otherwise(F.col(f"x.{f}")).alias(i) if j else F.when(swap, F.col(f"x.{f}")).otherwise(F.col(f"y.{f}")).alias(i)
-    pair = [pick("img", "a", 1), pick("corner", "ca", 1), pick("img", "b", 0), pick("corner", "cb", 0), bits.alias("bits")]
-    member = F.struct("img", "corner", *WORDS)
-
-    def cells(rows: DataFrame, next_word: int) -> DataFrame:
-        """Pairs of the rows of an entry that agree in the first bits of a word: the least width at which few do."""
-        head = lambda width: _head(width, next_word)
-        sizes = {w: F.count("*").over(Window.partitionBy("entry", "t", head(w))) for w in WIDTHS}
-        at = F.coalesce(*[F.when(n <= bucket, w) for w, n in sizes.items()])
-        part = F.coalesce(*[F.when(F.col("at") == w, head(w)) for w in WIDTHS])
-        # the repartition serves the windows and the aggregation
-        found = rows.repartition("entry").withColumn("at", at).where("at IS NOT NULL").groupBy("entry", "t", "at", part.alias("part"))
-        some = found.agg(F.collect_list(member).alias("m"), F.min("img").alias("low"), F.max("img").alias("high")).where("low < high")
-        return some.select("m", F.explode("m").alias("x")).select("x", F.explode("m").alias("y")).where((F.col("x.img") > F.col("y.img")) & (bits <= distance)).select(*pair)
-
-    entries = _entries(corners)
-    word = F.xxhash64("t", _head(64))
-    full = staged(entries.groupBy(word.alias("word")).agg(F.count("*").alias("n")).where(F.col("n") > bucket).select("word"), "full")
-    many = staged(entries.withColumn("entry", word).join(full, F.col("entry") == F.col("word")).groupBy("entry", "t", "img", *WORDS).agg(F.min("corner").alias("corner")), "crowded")
-    # a third of all images may share a corner, so its first ones are found within salts and then among those
-    order = [F.xxhash64("img"), F.col("img"), *map(F.col, WORDS)]
-    salted = many.withColumn("salt", F.pmod(F.xxhash64("img", *WORDS), F.lit(64)))
-    for keys in (["entry", "salt"], ["entry"]):
-        salted = salted.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= first).drop("rank")
-    crowd = many.alias("x").join(salted.alias("y"), F.col("x.entry") == F.col("y.entry")).where((F.col("x.img") != F.col("y.img")) & (bits <= distance)).select(*pair)
-    return cells(entries, 0).unionByName(cells(many, 1)).unionByName(crowd)
-
-
-def links(corners: DataFrame, distance: int = DISTANCE, consensus: int = CONSENSUS, tolerance: float = TOLERANCE) -> DataFrame:
-    """Pairs of images (a, b) with the matches that one similarity explains (n)."""
-    side = lambda n: corners.select(F.col("img").alias(n), F.col("corner").alias(f"c{n}"), F.col("c").alias(f"k{n}"))
-    words = lambda n: [F.col(f"k{n}.d")[i] for i in range(4)]
-    sown = seeds(corners).groupBy("a", "b", "ca", "cb").agg(F.first("bits").alias("bits")).groupBy("a", "b").agg(F.count("*").alias("n"), F.min("bits").alias("least"))
-    met = staged(sown.where((F.col("n") > 1) | (F.col("least") <= SURE)).select("a", "b"), "met")
-    # images that met are compared corner by corner, so that all their other matches do not depend on the tables
-    bits = _bits(words("a"), words("b"))
-    found = met.join(side("a"), "a").join(side("b"), "b").where(bits <= distance).withColumn("bits", bits)
-    near = lambda n: F.col("bits") == F.min("bits").over(Window.partitionBy("a", "b", f"c{n}"))
-    mutual = found.withColumn("own", near("a")).withColumn("other", near("b")).where("own AND other")
-    matches = staged(mutual.select("a", "b", "ca", "cb", *[F.col(f"k{n}.{f}").alias(f"{n}_{f}") for n in "ab" for f in ("x", "y", "angle", "scale")]), "matches")
-    several = matches.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= consensus).select("a", "b")
-    some = matches.join(several, ["a", "b"])
-    turn = F.col("b_angle") - F.col("a_angle")
-    ratio = F.col("b_scale") / F.col("a_scale")
-    cos, sin = ratio * F.cos(turn), ratio * F.sin(turn)
-    told = some.select(
-        "a", "b", F.col("ca").alias("ha"), F.col("cb").alias("hb"), F.col("a_x").alias("own_x"), F.col("a_y").alias("own_y"), cos.alias("cos"), sin.alias("sin"),
-        turn.alias("turn"), ratio.alias("ratio"),
-        (F.col("b_x") - cos * F.col("a_x") + sin * F.col("a_y")).alias("dx"), (F.col("b_y") - sin * F.col("a_x") - cos * F.col("a_y")).alias("dy"),
-    )
-    both = told.join(some, ["a", "b"])
-    off_x = F.col("cos") * F.col("a_x") - F.col("sin") * F.col("a_y") + F.col("dx") - F.col("b_x")
-    off_y = F.col("sin") * F.col("a_x") + F.col("cos") * F.col("a_y") + F.col("dy") - F.col("b_y")
-    # a proposal's angle and scale are rough, so the tolerance grows with the distance from its own corner
-    reach = F.sqrt(F.pow(F.col("a_x") - F.col("own_x"), 2) + F.pow(F.col("a_y") - F.col("own_y"), 2))
-    alike = (F.cos(F.col("b_angle") - F.col("a_angle") - F.col("turn")) >= TURN) & (F.col("b_scale") / F.col("a_scale") / F.col("ratio")).between(1 / RATIO, RATIO)
-    good = alike & (off_x * off_x + off_y * off_y <= F.pow(F.lit(tolerance) + SLACK * F.sqrt(F.pow("cos", 2) + F.pow("sin", 2)) * reach, 2))
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, one after another."""
+    return np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+class _Pictures:
+    """Pictures with their corners as arrays, by img: corners of picture p are ``at[p] : at[p + 1]``."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by("img").combine_chunks()
+        corners = rows.column("corners").combine_chunks()
+        corners = pa.concat_arrays(corners.chunks) if isinstance(corners, pa.ChunkedArray) else corners
+        self.img = rows.column("img").to_numpy()
+        self.at = np.concatenate([[0], np.cumsum(corners.value_lengths().to_numpy())]).astype(np.int64)
+        found = corners.flatten()
+        self.x, self.y, self.angle, self.scale = (found.field(n).to_numpy(zero_copy_only=False) for n in ("x", "y", "angle", "scale"))
+        self.d = found.field("d").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(WORDS)).view(np.uint64)
+        self.of = np.repeat(np.arange(len(self.img)), np.diff(self.at))
+
+    def tables(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The corners of each Hamming table in the order of their first bits, and these."""
+        out = []
+        for t in range(len(WORDS)):
+            head = self.d[:, t] >> np.uint64(64 - WIDTH)
+            order = np.argsort(head, kind="stable")
+            out.append((order, head[order]))
+        return out
+
+
+def _met(own: _Pictures, first: int, last: int, other: _Pictures, tables: list, same: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """Pictures first to last of ``own``, each with those of ``other`` that it meets often or closely enough."""
+    seen = np.zeros((last - first) * len(other.img), np.int32)
+    lo, hi = own.at[first], own.at[last]
+    for t, (order, heads) in enumerate(tables):
+        mine = own.d[lo:hi, t] >> np.uint64(64 - WIDTH)
+        start = np.searchsorted(heads, mine)
+        size = np.searchsorted(heads, mine, "right") - start
+        total = np.concatenate([[0], np.cumsum(size)])
+        k = 0
+        while k < len(mine):  # an entry of any size is compared whole, so many pairs at a time
+            end = max(k + 1, int(np.searchsorted(total, total[k] + ROOM, "right")) - 1)
+            x, y = np.repeat(np.arange(lo + k, lo + end), size[k:end]), order[_ranges(start[k:end], size[k:end])]
+            k = end
+            if same:
+                later = own.of[x] > other.of[y]
+                x, y = x[later], y[later]
+            apart = own.d[x] ^ other.d[y]
+            bits = np.bitwise_count(apart).sum(axis=1, dtype=np.uint16)
+            # corners that an earlier table brought together have been counted there
+            new = (bits <= SEED) & ((apart[:, :t] >> np.uint64(64 - WIDTH)) != 0).all(axis=1)
+            x, y, bits = x[new], y[new], bits[new]
+            np.add.at(seen, (own.of[x] - first) * len(other.img) + other.of[y], np.where(bits <= SURE, 2, 1).astype(np.int32))
+    for p, row in enumerate(seen.reshape(last - first, -1), first):
+        yield p, np.flatnonzero(row > 1)
+
+
+def _matches(own: _Pictures, p: int, other: _Pictures, among: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Corners of picture p and of those ``among`` the others that are each other's nearest, by picture: (place in ``among``, own corner, other corner)."""
+    sizes = other.at[among + 1] - other.at[among]
+    cols, begins = _ranges(other.at[among], sizes), np.cumsum(sizes) - sizes
+    segment = np.repeat(np.arange(len(among)), sizes)
+    lo, hi = own.at[p], own.at[p + 1]
+    there = np.ascontiguousarray(other.d[cols].T)
+    step = max(1, ROOM // len(cols))
+
+    def tile(k: int) -> np.ndarray:
+        here = own.d[k : min(k + step, hi)]
+        bits = np.zeros((len(here), len(cols)), np.uint16)
+        for t in range(len(WORDS)):
+            bits += np.bitwise_count(here[:, t, None] ^ there[t])
+        return bits
+
+    at = range(lo, hi, step)
+    kept = {k: tile(k) for k in at} if len(cols) * (hi - lo) <= 8 * ROOM else {}  # else computed twice
+    least = np.min([(kept[k] if kept else tile(k)).min(axis=0) for k in at], axis=0)
+    found = []
+    for k in at:
+        bits = kept[k] if kept else tile(k)
+        i, j = np.nonzero((bits == least) & (bits <= distance))
+        nearest = np.minimum.reduceat(bits, begins, axis=1)
+        ok = bits[i, j] == nearest[i, segment[j]]
+        found.append((segment[j[ok]], i[ok] + k, cols[j[ok]]))
+    place, x, y = (np.concatenate(c) for c in zip(*found, strict=True))
+    by = np.argsort(place, kind="stable")
+    return place[by], x[by], y[by]
+
+
+def _explained(a: _Pictures, x: np.ndarray, b: _Pictures, y: np.ndarray, consensus: int, tolerance: float) -> int:
+    """Most spots that the proposal of one match explains; 0 if fewer than ``consensus``."""
+    turn, ratio = b.angle[y] - a.angle[x], b.scale[y] / a.scale[x]
+    cos, sin, best = ratio * np.cos(turn), ratio * np.sin(turn), 0
+    ax, ay, bx, by = a.x[x], a.y[x], b.x[y], b.y[y]
     # one spot of a picture counts once, at however many scales it has corners
-    spots = lambda n: F.size(F.collect_set(F.struct(F.floor(F.col(f"{n}_x") / SPOT), F.floor(F.col(f"{n}_y") / SPOT))))
-    per = both.where(good).groupBy("a", "b", "ha", "hb").agg(F.least(spots("a"), spots("b")).alias("n"))
-    return per.groupBy("a", "b").agg(F.max("n").alias("n")).where(F.col("n") >= consensus)
+    spots = [(u // SPOT).astype(np.int64) << 32 | (v // SPOT).astype(np.int64) for u, v in ((ax, ay), (bx, by))]
+    step = max(1, ROOM // len(x))
+    for k in range(0, len(x), step):
+        h = slice(k, k + step)
+        c, s = cos[h, None], sin[h, None]
+        right, down = ax - ax[h, None], ay - ay[h, None]
+        off_x, off_y = c * right - s * down - (bx - bx[h, None]), s * right + c * down - (by - by[h, None])
+        # a proposal's angle and scale are rough, so the tolerance grows with the distance from its own corner
+        reach = tolerance + SLACK * ratio[h, None] * np.hypot(right, down)
+        own = ratio / ratio[h, None]
+        good = (off_x * off_x + off_y * off_y <= reach * reach) & (np.cos(turn - turn[h, None]) >= TURN) & (own >= 1 / RATIO) & (own <= RATIO)
+        n = good.sum(axis=1)
+        if n.max() < consensus:
+            continue
+        for i in np.argsort(-n, kind="stable"):
+            if n[i] <= best or n[i] < consensus:
+                break
+            best = max(best, min(len(set(told[good[i]].tolist())) for told in spots))
+    return best if best >= consensus else 0
+
+
+def _linked(own: _Pictures, other: _Pictures, same: bool, distance: int, consensus: int, tolerance: float) -> Iterator[tuple]:
+    """(a, b, n) of the linked pictures of two blocks, or of one with itself."""
+    tables, step = other.tables(), max(1, min(256, 4 * ROOM // len(other.img)))
+    for first in range(0, len(own.img), step):
+        for p, met in _met(own, first, min(first + step, len(own.img)), other, tables, same):
+            room = max(1, ROOM // max(1, int(own.at[p + 1] - own.at[p])))
+            sizes = np.cumsum(other.at[met + 1] - other.at[met]) if len(met) else np.zeros(0)
+            for among in np.split(met, np.flatnonzero(np.diff(sizes // room)) + 1) if len(met) else ():
+                place, x, y = _matches(own, p, other, among, distance)
+                n = np.bincount(place, minlength=len(among))
+                ends = np.cumsum(n)
+                for q in np.flatnonzero(n >= consensus):
+                    i, j = x[ends[q] - n[q] : ends[q]], y[ends[q] - n[q] : ends[q]]
+                    a, b = own.img[p], other.img[among[q]]
+                    told = _explained(own, i, other, j, consensus, tolerance) if a > b else _explained(other, j, own, i, consensus, tolerance)
+                    if told:
+                        yield max(a, b), min(a, b), told
+
+
+def links_of(pictures: DataFrame, distance: int = DISTANCE, consensus: int = CONSENSUS, tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
+    """Pairs of images (a, b) of ``pictures`` (img, corners) with the matches that one similarity explains (n).
+
+    Pictures are dealt to blocks of about ``block`` corners; a task gets two blocks
+    (or one) and compares each picture of one with each of the other, so nothing
+    is shuffled but the pictures, once for each block, and memory is bounded
+    however many corners share an entry.
+    """
+    known = pictures.where(F.size("corners") > 0).select("img", "corners")
+    n = max(1, math.ceil((known.agg(F.sum(F.size("corners"))).first()[0] or 0) / block))
+    own, other = F.pmod(F.xxhash64("img"), F.lit(n)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = known.withColumn("own", own).withColumn("other", other)
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    dealt = dealt.select("img", "corners", (F.col("own") == low).alias("low"), (low == high).alias("same"), (low * n - F.floor(low * (low - 1) / 2) + high - low).cast("int").alias("cell"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [b for b in batches if b.num_rows]
+        if not batches:
+            return
+        rows = pa.Table.from_batches(batches)
+        same = rows.column("same")[0].as_py()
+        left = _Pictures(rows.filter(rows.column("low")).select(["img", "corners"]))
+        right = left if same else _Pictures(rows.filter(pc.invert(rows.column("low"))).select(["img", "corners"]))
+        if not len(left.img) or not len(right.img):
+            return
+        del rows, batches
+        found = _linked(left, right, same, distance, consensus, tolerance)
+        while some := list(islice(found, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*some, strict=True)], ["a", "b", "n"])
+
+    return small_batches(dealt.repartitionById(n * (n + 1) // 2, F.col("cell"))).mapInArrow(compare, "a long, b long, n long")
+
+
+def links(corners: DataFrame, distance: int = DISTANCE, consensus: int = CONSENSUS, tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
+    """``links_of`` for corners (img, corner, c) in rows of their own."""
+    return links_of(corners.groupBy("img").agg(F.collect_list("c").alias("corners")), distance, consensus, tolerance, block)
 
 
 def find_copies(images: DataFrame, id_col: str = "id", image_col: str = "image") -> DataFrame:
     """One row per row of ``images``: id, n_corners, n_links (of its picture), group_id (least id of its group)."""
     rows = staged(descriptors(images, id_col, image_col), "corners")
     pictures = staged(rows.groupBy("digest").agg(F.min("id").alias("first"), F.first("corners").alias("corners")).withColumn("img", F.xxhash64("digest")), "pictures")
-    corners = pictures.select("img", F.posexplode("corners").alias("corner", "c"))
-    linked = staged(links(corners), "links")
+    linked = staged(links_of(pictures), "links")
     degree = linked.select(F.col("a").alias("img")).unionByName(linked.select(F.col("b").alias("img"))).groupBy("img").agg(F.count("*").alias("n_links"))
     roots = staged(connected(linked.select("a", "b")), "roots")
     grouped = pictures.select("digest", "img", "first", F.size("corners").alias("n_corners")).join(degree, "img", "left").join(roots, F.col("img") == F.col("node"), "left")
