@@ -8,10 +8,9 @@ image; the pyramid goes down to the last level that can hold one (33 pixels).
 
 The four words of a descriptor are the keys of four Hamming tables: corners of
 different images meet that agree in the first ``WIDTH`` bits of a word, however
-many do. Two images
-with two meetings within ``SEED`` bits, or one within ``SURE``, are compared
-corner by corner: corners that are each other's nearest, at most ``DISTANCE``
-bits apart, match. Each match proposes a similarity (scale, turn, shift); it
+many do. Two images with two meetings within ``SEED`` bits, or one within
+``SURE``, are compared corner by corner: corners that are each other's nearest,
+at most ``DISTANCE`` bits apart, match. Each match proposes a similarity (scale, turn, shift); it
 explains the matches whose places it maps onto each other and whose own turn and
 scale agree with its own, so that chance matches, of which large pictures have
 many, hardly ever agree. Two images link when one proposal explains at least
@@ -286,7 +285,6 @@ class _Pictures:
     def __init__(self, rows: pa.Table):
         rows = rows.sort_by("img").combine_chunks()
         corners = rows.column("corners").combine_chunks()
-        corners = pa.concat_arrays(corners.chunks) if isinstance(corners, pa.ChunkedArray) else corners
         self.img = rows.column("img").to_numpy()
         self.at = np.concatenate([[0], np.cumsum(corners.value_lengths().to_numpy())]).astype(np.int64)
         found = corners.flatten()
