@@ -1,13 +1,16 @@
 """Every registered query of the catalogue against DuckDB."""
 
+import io
 import math
 import os
 
 import conftest
 import duckdb
+import pyarrow as pa
 import pytest
 
-from tidewire.plans import catalogue, stored
+from tidewire.plans import catalogue, pseudo, stored
+from tidewire.sources import pcap
 
 SF = f"{conftest.DATA}/sf0.001"
 
@@ -68,3 +71,41 @@ def test_captures_of_ports_beyond_16_bits(spark, many_users, name):
     found = con.sql(SQL[name])
     got = QUERIES[name](spark, many_users).select(*found.columns).collect()
     assert len(got) > 0 and sorted(tuple(map(plain, r)) for r in got) == sorted(tuple(map(plain, r)) for r in found.fetchall())
+
+
+@pytest.mark.parametrize("name", ["capture_rejects", "capture_throughput"])
+def test_captures_of_users_beyond_32_bits(spark, tmp_path, name):
+    """What returns no port takes any user, as its SQL does."""
+    duckdb.sql(f"COPY (SELECT event_id + 1000000 * i AS event_id, ts, user_id + 1000000000 * i AS user_id, event_type, value, props FROM '{SF}/events.parquet', range(0, 60, 20) r(i)) TO '{tmp_path}/events.parquet'")
+    con = duckdb.connect()
+    con.sql("SET timezone = 'UTC'")
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    found = con.sql(SQL[name])
+    got = QUERIES[name](spark, str(tmp_path)).select(*found.columns).collect()
+    assert len(got) == 30 and sorted(tuple(map(plain, r)) for r in got) == sorted(tuple(map(plain, r)) for r in found.fetchall())
+
+
+def test_captures_are_not_held(spark):
+    """A file's packets come while it is still written; a damaged one is written whole, too."""
+    taken = 0
+
+    def batches(day):
+        nonlocal taken
+        row = {"pcap_file": f"cap-2024-01-{day}", "qr": 0, "id": 1, "client": "10.0.0.1", "port": 5_000_000_000, "qname": "a.nl.", "qtype": 1, "rcode": 0, "prot": 17, "k": 1}
+        for at in range(50):
+            taken += 1
+            yield pa.RecordBatch.from_pylist([row | {"time": 1000 * at + i} for i in range(1000)])
+
+    for damaged, day, own, first in ((False, "04", 50_000, 2), (False, "05", 50_000, 40), (True, "20", 0, 50), (True, "25", 0, 50)):
+        taken = 0
+        files = pseudo.captures(spark, SF, damaged)[1](batches(day))
+        name, raw = next(files)
+        rows = pcap.rows_of(name, raw, None, None)
+        one = next(rows)
+        assert taken <= first and (one["error"] is None) == (not damaged)
+        assert sum(1 for _ in rows) == max(own - 1, 0) and taken == 50 and next(files, None) is None
+
+
+def test_pieces_are_one_stream():
+    assert io.BufferedReader(pcap.Pieces(iter([b"", b"ab", b"", b"cde", b""]))).read() == b"abcde"
+    assert io.BufferedReader(pcap.Pieces(iter([b"ab", b"cde"])), 4).read(3) == b"abc"

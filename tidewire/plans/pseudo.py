@@ -7,8 +7,9 @@ import gzip
 import io
 import lzma
 import struct
-from collections.abc import Iterator
-from itertools import groupby
+from collections.abc import Callable, Iterable, Iterator
+from itertools import batched, chain, groupby
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions.ip import MAPPED, ip_key
 from tidewire.functions.times import epoch_ms
-from tidewire.sources import capture
+from tidewire.sources import capture, pcap
 
 
 def _div(a: str, b: int) -> Column:
@@ -169,7 +170,7 @@ def _packet(row: dict, seqs: dict) -> bytes:
     """A UDP message, a TCP segment of two messages, or, without a name, an ICMP error that quotes a query."""
     ends = (row["client"], SERVER) if row["qr"] == 0 else (SERVER, row["client"])
     port = row["port"] & 0xFFFF
-    opt = None if port == row["port"] else capture.option(WIDE_PORT, struct.pack(">i", row["port"]))
+    opt = None if port == row["port"] else capture.option(WIDE_PORT, struct.pack(">q", row["port"]))
     ports = (port, 53) if row["qr"] == 0 else (53, port)
     if row["qname"] is None:
         quoted = capture.ip(capture.udp(capture.dns(row["id"], qname=f"q{row['k'] % 4}.example.com.", qtype=row["qtype"], opt=opt), port), 17, row["client"], SERVER)
@@ -186,51 +187,69 @@ def _packet(row: dict, seqs: dict) -> bytes:
 def full_port(opt: Column, port: Column) -> Column:
     """A client's port: as its message's EDNS option tells it, else as on the wire."""
     told = F.try_element_at(F.filter(opt["options"], lambda o: o["code"] == WIDE_PORT), F.lit(1))["data"]
-    value = F.conv(F.hex(told), 16, 10).cast("long")
-    return F.coalesce(F.when(value < 1 << 31, value).otherwise(value - (1 << 32)), port.cast("long")).cast("int")
+    return F.coalesce(F.conv(F.hex(told), 16, -10).cast("long"), port.cast("long")).cast("int")
 
 
 class _Capture:
-    """One file that is written packet by packet and compressed at once, so that only its bytes are held."""
+    """One file that is written packet by packet and compressed at once; ``taken`` gives its bytes so far and forgets them."""
 
-    def __init__(self, name: str, damaged: bool):
-        day = int(name[-2:])
-        self.suffix, self.seqs, self.out = SUFFIXES[day % 4], {}, io.BytesIO()
-        self.path, self.damaged = f"/{name}.pcap{self.suffix}", damaged and day % 5 == 0
+    def __init__(self, suffix: str):
+        self.suffix, self.seqs, self.out = suffix, {}, io.BytesIO()
         pack = {"": lambda f: f, ".gz": lambda f: gzip.GzipFile(fileobj=f, mode="wb", mtime=0), ".xz": lambda f: lzma.open(f, "wb"), ".bz2": lambda f: bz2.open(f, "wb")}
-        self.file = pack[self.suffix](self.out)
+        self.file = pack[suffix](self.out)
         self.file.write(capture.pcap([]))
 
-    def add(self, rows: list[dict]) -> None:
+    def add(self, rows: Iterable[dict]) -> None:
         self.file.write(capture.pcap([(row["time"], _packet(row, self.seqs)) for row in rows], header=False))
 
-    def ended(self) -> pa.RecordBatch:
+    def end(self) -> None:
         if self.suffix:
             self.file.close()  # ends the compressed data, not what they are written to
+
+    def taken(self) -> bytes:
         data = self.out.getvalue()
-        if self.damaged:
-            data = (data[:20] if self.suffix else b"") + bytes([7]) * 64
-        return pa.RecordBatch.from_arrays([pa.array([self.path]), pa.array([data], pa.binary())], ["path", "content"])
-
-
-def captures(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
-    """Capture files as binaryFile rows (path, content): one a day, plain or compressed by the day; ``damaged``: those of each fifth day are broken."""
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, now = None, None
-        for batch in batches:
-            for own, rows in groupby(batch.to_pylist(), lambda row: row["pcap_file"]):
-                if now is None or own != name:
-                    if now is not None:
-                        yield now.ended()
-                    name, now = own, _Capture(own, damaged)
-                now.add(list(rows))
-        if now is not None:
-            yield now.ended()
-
-    rows = messages(spark, sf_dir).select("pcap_file", "seq", "time", "qr", "id", "client", "port", "qname", "qtype", "rcode", "prot", "k")
+        self.out.seek(0)
+        self.out.truncate()
+        return data
+
+
+#: Packets that are written at once.
+PIECE = 1_000
+
+
+def pieces(suffix: str, rows: Iterable[dict], damaged: bool = False) -> Iterator[bytes]:
+    """The bytes of a capture as its rows pass; of a ``damaged`` one only the first are its own."""
+    file, head = _Capture(suffix), b""
+    for some in batched(rows, PIECE):
+        file.add(some)
+        if damaged:
+            head = (head + file.taken())[:20]
+        else:
+            yield file.taken()
+    file.end()
+    last = file.taken()
+    yield ((head + last)[:20] if suffix else b"") + bytes([7]) * 64 if damaged else last
+
+
+def captures(spark: SparkSession, sf_dir: str, damaged: bool = False) -> tuple[DataFrame, Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[str, BinaryIO]]]]:
+    """Rows, and what makes a partition's capture files (name, stream) of them, for ``pcap.decode_streams``.
+
+    One file a day, plain or compressed by the day; ``damaged``: those of each
+    fifth day are broken. A file is written as it is read, so none is held.
+    """
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, BinaryIO]]:
+        rows = chain.from_iterable(batch.to_pylist() for batch in batches)
+        for name, own in groupby(rows, lambda row: row["pcap_file"]):
+            day = int(name[-2:])
+            suffix = SUFFIXES[day % 4]
+            yield f"{name}.pcap{suffix}", io.BufferedReader(pcap.Pieces(pieces(suffix, own, damaged and day % 5 == 0)))
+
+    # the port is as wide as the user: a capture takes any, only a query that returns it casts it
+    port = (1024 + F.col("u")).alias("port")
+    rows = messages(spark, sf_dir).select("pcap_file", "seq", "time", "qr", "id", "client", port, "qname", "qtype", "rcode", "prot", "k")
     # a file's packets come in the order of their times, as streams, so that no task holds a day's rows
-    return rows.repartition("pcap_file").sortWithinPartitions("pcap_file", "time", "seq").mapInArrow(write, "path string, content binary")
+    return rows.repartition("pcap_file").sortWithinPartitions("pcap_file", "time", "seq"), files
 
 
 __all__ = ["GEO_SQL", "MESSAGES_SQL", "asn", "captures", "full_port", "geo", "ip_key", "messages", "packets", "resolvers"]

@@ -65,7 +65,7 @@ _PLACE_SQL = "concat('year=', year(ts), '/month=', month(ts), '/day=', day(ts),
 
 
 def _decoded(spark, sf, damaged=False):
-    return pcap.decode_files(pseudo.captures(spark, sf, damaged), "ns1_ams")
+    return pcap.decode_streams(*pseudo.captures(spark, sf, damaged), "ns1_ams")
 
 
 def _file_sql(day: str = "day(ts)") -> str:

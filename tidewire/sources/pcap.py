@@ -15,7 +15,8 @@ import io
 import lzma
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -67,17 +68,46 @@ def _batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(some, schema)
 
 
+class Pieces(io.RawIOBase):
+    """A stream of the bytes that an iterator gives piece by piece; one piece is held."""
+
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.rest = pieces, memoryview(b"")
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into) -> int:
+        while not self.rest:
+            piece = next(self.pieces, None)
+            if piece is None:
+                return 0
+            self.rest = memoryview(piece)
+        n = min(len(into), len(self.rest))
+        into[:n], self.rest = self.rest[:n], self.rest[n:]
+        return n
+
+
+def decode_streams(rows: DataFrame, files: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[str, BinaryIO]]], server: str = "default", tcp: bool = True) -> DataFrame:
+    """Packets of the files (name, stream) that ``files`` finds in a partition's rows; each is read before the next is asked for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, raw in files(batches):
+            yield from _batches(rows_of(name, raw, server, None, tcp))
+
+    parts = server_parts(F.col("server"))
+    return rows.mapInArrow(run, PACKET_SCHEMA).withColumn("server_location", parts["location"])
+
+
 def decode_files(files: DataFrame, server: str = "default", tcp: bool = True) -> DataFrame:
     """Packets of binaryFile rows (path, content); works for batch and streaming."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, BinaryIO]]:
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield from _batches(rows_of(path.rsplit("/", 1)[-1], io.BytesIO(content), server, None, tcp))
+                yield path.rsplit("/", 1)[-1], io.BytesIO(content)
 
-    packets = files.select("path", "content").mapInArrow(run, PACKET_SCHEMA)
-    parts = server_parts(F.col("server"))
-    return packets.withColumn("server_location", parts["location"])
+    return decode_streams(files.select("path", "content"), contents, server, tcp)
 
 
 def read(spark: SparkSession, path: str | list[str], server: str = "default", tcp: bool = True) -> DataFrame:
